@@ -72,10 +72,10 @@ def on_silver(operator: Callable[[DataFrame], DataFrame], rounded: bool = True)
     )
 
 
-def per_row(columns: dict[str, Column]) -> Query:
-    """A scalar function applied to every row, next to the row id."""
+def per_row(columns: Callable[[], dict[str, Column]]) -> Query:
+    """Scalar functions applied to every row, next to the row id."""
     return on_raw(
-        lambda raw: raw.select(ROW_ID, *[c.alias(name) for name, c in columns.items()])
+        lambda raw: raw.select(ROW_ID, *[c.alias(name) for name, c in columns().items()])
     )
 
 
@@ -111,18 +111,18 @@ def record_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     unreadable pending amount gain one, so that there are short and long records to find.
     """
     cells = bridge(configure(spark), sf_dir)
-    fields = [
-        F.when(F.col(c).isNull(), "").otherwise(
-            F.concat(F.lit('"'), F.replace(F.col(c), F.lit('"'), F.lit('""')), F.lit('"'))
-        )
-        for c in RAW_COLUMNS
+    quoted = [
+        F.coalesce(F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')), F.lit(""))
+        for c in map(F.col, RAW_COLUMNS)
     ]
-    short = F.concat_ws(",", *fields[:-2])
-    full = F.concat_ws(",", *fields)
-    record = (
-        F.when(F.col(PO_DATE) == "unknown", short)
-        .when(F.col("Vouchers Pending") == "pending", F.concat(full, F.lit(",surplus")))
-        .otherwise(full)
+    short = F.coalesce(F.col(PO_DATE) == "unknown", F.lit(False))
+    long = F.col("Vouchers Pending") == "pending"
+    # concat_ws leaves out null parts.
+    record = F.concat_ws(
+        ",",
+        *quoted[:-2],
+        *[F.when(~short, field) for field in quoted[-2:]],
+        F.when(~short & long, "surplus"),
     )
     return cells.select(F.col(ROW_ID).alias("row_id"), record.alias("record"))
 
@@ -154,27 +154,27 @@ def _silver(c: str) -> str:
 
 QUERIES: dict[str, Query] = {
     # scalar functions
-    "clean_numeric": per_row({_silver(c): clean_numeric(F.col(c)) for c in AMOUNTS}),
-    "parse_timestamp": per_row({c: parse_timestamp(F.col(c)) for c in (AS_OF, LOADED_AT)}),
-    "parse_date": per_row({_silver(PO_DATE): parse_date(F.col(PO_DATE))}),
-    "fiscal_year": per_row({"fiscal_year": fiscal_year(F.col(FISCAL_YEAR))}),
+    "clean_numeric": per_row(lambda: {_silver(c): clean_numeric(F.col(c)) for c in AMOUNTS}),
+    "parse_timestamp": per_row(lambda: {c: parse_timestamp(F.col(c)) for c in (AS_OF, LOADED_AT)}),
+    "parse_date": per_row(lambda: {_silver(PO_DATE): parse_date(F.col(PO_DATE))}),
+    "fiscal_year": per_row(lambda: {"fiscal_year": fiscal_year(F.col(FISCAL_YEAR))}),
     "clean_text": per_row(
-        {
+        lambda: {
             **{_silver(c): clean_text(F.col(c)) for c in DIMENSIONS},
             **{_silver(c): clean_text(F.col(c), FILL_VALUE) for c in FILLED_CODES},
         }
     ),
     "normalize_text": per_row(
-        {_silver(c): normalize_text(F.col(c), FILL_VALUE) for c in DIMENSIONS}
+        lambda: {_silver(c): normalize_text(F.col(c), FILL_VALUE) for c in DIMENSIONS}
     ),
     "clean_contract_number": per_row(
-        {"contract_number": clean_contract_number(F.col(CONTRACT_NUMBER))}
+        lambda: {"contract_number": clean_contract_number(F.col(CONTRACT_NUMBER))}
     ),
     "nullify_tokens": on_raw(lambda raw: with_silver_names(raw.drop(ROW_HASH))),
-    "business_composite_key": per_row({"business_composite_key": composite_key(BUSINESS_KEY)}),
+    "business_composite_key": per_row(lambda: {"business_composite_key": composite_key(BUSINESS_KEY)}),
     "source_row_hash": on_raw(lambda raw: raw.select(ROW_ID, ROW_HASH)),
     "po_year_month": per_row(
-        {
+        lambda: {
             "po_year": F.year(parse_date(F.col(PO_DATE))),
             "po_month": year_month(parse_date(F.col(PO_DATE))),
         }
