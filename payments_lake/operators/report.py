@@ -81,6 +81,15 @@ def frequencies(frame: DataFrame, kinds: Sequence[str], kind: str = "kind") -> D
     )
 
 
+def counted_kind(kind: str = "kind") -> Column:
+    """The kind of a counted value, for filters that must stay above the count.
+
+    A filter on the plain column moves below the aggregation, and branches that keep different
+    kinds then scan and count the table each on their own instead of sharing one shuffle.
+    """
+    return F.when(F.col("records") > 0, F.col(kind))
+
+
 def top_per_group(
     frame: DataFrame, group: Sequence[str], order: Sequence[Column], k: int, rank: str = "rank"
 ) -> DataFrame:

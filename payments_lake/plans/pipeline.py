@@ -30,11 +30,11 @@ from payments_lake.operators.types import profile_data_types
 from payments_lake.operators.validation import (
     gold_status,
     mart_metric_summary,
-    silver_identity,
     validate_gold,
     validate_silver,
 )
 from payments_lake.plans.readiness import readiness_summary
+from payments_lake.schema import ROW_HASH
 from payments_lake.session import configure
 from payments_lake.sources import (
     land_raw,
@@ -126,10 +126,30 @@ def read_marts(spark: SparkSession, layout: Layout, fmt: str = "parquet") -> dic
 
 
 def check_silver(spark: SparkSession, layout: Layout) -> dict:
-    """Write the silver report; return the identity numbers and the status."""
+    """Write the silver report; return its status, row identity, null and flag counts."""
     silver = read_silver(spark, layout.silver)
     write_table(validate_silver(silver), layout.report("silver_output"))
-    return silver_identity(silver).first().asDict()
+    # A row per metric of 26 required columns, whatever the size of silver.
+    report = read_table(spark, layout.report("silver_output")).collect()
+    value = {(row["column_name"], row["metric"]): row["value"] for row in report}
+
+    def counts(metric: str) -> dict[str, int]:
+        return {column: int(v) for (column, m), v in value.items() if m == metric}
+
+    missing = value["", "missing_required_columns"]
+    return {
+        "status": value["", "status"],
+        "row_count": int(value["", "total_rows"]),
+        "column_count": int(value["", "column_count"]),
+        "missing_required_columns": missing.split(", ") if missing else [],
+        "unique_source_hash_count": int(value[ROW_HASH, "unique_count"]),
+        "source_row_hash_uniqueness_pct": float(value[ROW_HASH, "uniqueness_pct"]),
+        "fiscal_year_min": value.get(("fiscal_year", "min")),
+        "fiscal_year_max": value.get(("fiscal_year", "max")),
+        "null_counts": counts("null_count"),
+        "quality_flag_true_counts": counts("true_count"),
+        "report": layout.report("silver_output"),
+    }
 
 
 def check_gold(spark: SparkSession, layout: Layout, fmt: str = "parquet") -> dict:
