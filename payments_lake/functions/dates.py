@@ -23,15 +23,21 @@ def parse_date(c: Column) -> Column:
 
 def parse_timestamp(c: Column) -> Column:
     """``yyyy/M/d h:m:s AM|PM`` text as a timestamp without time zone, or null."""
-    text = F.regexp_replace(c, r"(\d)\s+", "$1 ")
-    clock = text.substr(F.lit(1), F.length(text) - 3)
-    moment = F.when(text.rlike(TIMESTAMP_PATTERN), _iso_day(clock).try_cast("timestamp_ntz"))
+    spaced = F.regexp_replace(c, r"(\d)\s+", "$1 ")
+    moment = F.when(c.rlike(TIMESTAMP_PATTERN), _twelve_hour(c)).when(
+        spaced.rlike(TIMESTAMP_PATTERN), _twelve_hour(spaced)
+    )
     # Hours run 12, 1, 2, .. 11: half a day is added after noon and taken off at twelve.
     afternoon = F.substring(c, -2, 1).isin("P", "p").cast("int")
-    twelve = text.contains(" 12:").cast("int")
+    twelve = c.rlike(r"\s12:").cast("int")
     return moment + F.expr("interval '12' hour") * (afternoon - twelve)
 
 
+def _twelve_hour(c: Column) -> Column:
+    """The moment without its AM or PM."""
+    return _iso_day(c.substr(F.lit(1), F.length(c) - 3)).try_cast("timestamp_ntz")
+
+
 def year_month(c: Column) -> Column:
     """``yyyy-MM`` of a date or timestamp."""
     return F.substring(c.cast("string"), 1, 7)

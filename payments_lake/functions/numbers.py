@@ -11,6 +11,9 @@ from payments_lake.functions.text import trim_text
 NUMBER_PATTERN = (
     r"^[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf(?:inity)?))\s*$"
 )
+# Money as it is usually written: digits with separators, at most in one pair of brackets. Without
+# an exponent and of this length no such text overflows a double.
+USUAL_MONEY = r"^\s*(?:\([0-9.,$+\-\s]{0,300}\)|[0-9.,$+\-\s]{0,300})\s*$"
 INFINITY = float("inf")
 
 # Above this size a double has no digits left that a decimal(24, 6) could add.
@@ -25,9 +28,14 @@ def to_double(c: Column) -> Column:
 
 
 def clean_numeric(c: Column) -> Column:
-    """Money text as a double: drops ``,`` and ``$``, reads ``(x)`` as ``-x``."""
+    """Money text as a double: drops ``,`` and ``$``, reads ``(x)`` as ``-x``.
+
+    The usual form needs one pass over its characters; any other form is taken apart.
+    """
+    usual = F.translate(c, "(,$)", "-").try_cast("double")
     digits = F.translate(trim_text(c), ",$", "")
-    return to_double(F.regexp_replace(digits, r"^\((.*)\)$", "-$1"))
+    other = to_double(F.regexp_replace(digits, r"^\((.*)\)$", "-$1"))
+    return F.when(c.rlike(USUAL_MONEY), usual).otherwise(other)
 
 
 def fiscal_year_number(c: Column) -> Column:
