@@ -8,12 +8,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from payments_lake.llm.common import table
+from payments_lake.llm.license_scan import scanned
+from payments_lake.llm.packing import pack
 from payments_lake.llm.quality_rules import quality_rules
+from payments_lake.llm.secret_scan import scan
 from payments_lake.llm.token_counts import token_counts
+from payments_lake.llm.warc import archived_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(table(spark, sf_dir, "pages"))
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scanned(table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
@@ -28,8 +40,20 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_warc_chunks": op1_warc_chunks,
+    "op2_license_scan": op2_license_scan,
     "op3_token_counts": op3_token_counts,
+    "op5_packing": op5_packing,
     "op6_quality_rules": op6_quality_rules,
+    "op8_secret_scan": op8_secret_scan,
 }
 ORACLE: dict[str, str] = {}
