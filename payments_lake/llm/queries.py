@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from payments_lake.llm.common import table
+from payments_lake.llm.decontamination import contained_items
+from payments_lake.llm.jaccard_join import linked_components
 from payments_lake.llm.license_scan import scanned
 from payments_lake.llm.packing import pack
 from payments_lake.llm.quality_rules import quality_rules
@@ -40,6 +42,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_components(table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -48,12 +54,18 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc_chunks": op1_warc_chunks,
     "op2_license_scan": op2_license_scan,
     "op3_token_counts": op3_token_counts,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_packing": op5_packing,
     "op6_quality_rules": op6_quality_rules,
     "op8_secret_scan": op8_secret_scan,
+    "op10_decontamination": op10_decontamination,
 }
 ORACLE: dict[str, str] = {}
