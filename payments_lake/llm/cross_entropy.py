@@ -1,0 +1,217 @@
+"""Cross-entropy difference: n-gram models of a target and a background over one vocabulary."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from payments_lake.llm.common import text_or_empty
+from payments_lake.llm.shingles import WORDS
+
+# Words of the shared vocabulary; all others are one unknown word. The most frequent ones are
+# classes of their own in the bigram model, the rest share a class. Both bound the models' size.
+VOCABULARY = 65_536
+CLASSES = 1_024
+BIGRAM_SHARE = 0.6
+BIGRAM_PRIOR = 50.0
+WORD_PRIOR = 0.5
+STRETCH = 2_000_000  # words counted at once in a task
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """Hashes of the words (no ASCII white space, A to Z lower-cased), in order."""
+    words = text.lower().split()
+    return np.fromiter(map(WORDS.__getitem__, words), np.uint64, len(words))
+
+
+def vocabulary(texts: DataFrame, size: int = VOCABULARY) -> np.ndarray:
+    """Hashes of the ``size - 1`` most frequent words over all texts, most frequent first.
+
+    Every word of every text is counted: tasks count stretches, the sums are shuffled by word.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        total = 0
+
+        def counted() -> pa.RecordBatch:
+            words, counts = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(words.view(np.int64)), pa.array(counts.astype(np.int64))], ["word", "n"]
+            )
+
+        for batch in batches:
+            for text in batch.column("text"):
+                held.append(word_hashes(text.as_py()))
+                total += len(held[-1])
+                if total >= STRETCH:
+                    yield counted()
+                    held, total = [], 0
+        if total:
+            yield counted()
+
+    rows = (
+        texts.select("text").mapInArrow(count, "word bigint, n bigint")
+        .groupBy("word").agg(F.sum("n").alias("n"))
+        .orderBy(F.desc("n"), "word").limit(size - 1).select("word").collect()
+    )
+    return np.array([r.word for r in rows], np.int64).view(np.uint64)
+
+
+class Lexicon:
+    """Word numbers: 0 is the unknown word, then by frequency."""
+
+    def __init__(self, words: np.ndarray, classes: int = CLASSES) -> None:
+        order = np.argsort(words)
+        self.sorted, self.numbers = words[order], order + 1
+        self.size, self.classes = len(words) + 1, classes
+
+    def ids(self, text: bytes) -> np.ndarray:
+        hashes = word_hashes(text)
+        if not len(self.sorted) or not len(hashes):
+            return np.zeros(len(hashes), np.int64)
+        at = np.minimum(np.searchsorted(self.sorted, hashes), len(self.sorted) - 1)
+        return np.where(self.sorted[at] == hashes, self.numbers[at], 0)
+
+    def pairs(self, ids: np.ndarray) -> np.ndarray:
+        """Cells of the bigram matrix for each word and the one before; class 0 also begins a text."""
+        classes = np.where(ids < self.classes, ids, 0)
+        return np.concatenate([[0], classes[:-1]]) * self.classes + classes
+
+
+def model_counts(texts: DataFrame, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray]:
+    """Word counts and class bigram counts, each as two rows: background, target.
+
+    Tasks add up whole matrices and send the rows that aren't empty as packed blocks; blocks are
+    summed by key, so the driver receives two finished models of fixed size.
+    """
+    classes = lexicon.classes
+    word_rows = -(-lexicon.size // classes)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = np.zeros((2, (classes + word_rows) * classes), np.int64)
+        for batch in batches:
+            targets = batch.column("is_target").to_pylist()
+            for i, text in enumerate(batch.column("text")):
+                ids = lexicon.ids(text.as_py())
+                if len(ids):
+                    own = totals[int(targets[i])]
+                    np.add.at(own, lexicon.pairs(ids), 1)
+                    np.add.at(own, classes * classes + ids, 1)
+        for target in (0, 1):
+            blocks = totals[target].reshape(-1, classes)
+            rows = np.flatnonzero(blocks.any(axis=1))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([bool(target)] * len(rows), pa.bool_()), pa.array(rows, pa.int32()),
+                 pa.array([blocks[r].tobytes() for r in rows], pa.binary())],
+                ["is_target", "block", "counts"],
+            )
+
+    def add(blocks):
+        first = blocks.iloc[:1].copy()
+        first["counts"] = [sum(np.frombuffer(b, np.int64) for b in blocks["counts"]).tobytes()]
+        return first
+
+    schema = "is_target boolean, block int, counts binary"
+    blocks = texts.mapInArrow(count, schema).groupBy("is_target", "block").applyInPandas(add, schema)
+    totals = np.zeros((2, (classes + word_rows) * classes), np.int64)
+    for row in blocks.toLocalIterator():
+        at = row.block * classes
+        totals[int(row.is_target), at : at + classes] = np.frombuffer(row.counts, np.int64)
+    cells = classes * classes
+    return totals[:, cells : cells + lexicon.size], totals[:, :cells]
+
+
+class Model:
+    """An interpolated class bigram model.
+
+    A word's class follows the class before it; the word follows from its class. Both are mixed
+    with the plain word frequencies. ``scale`` brings the background's counts to the size of the
+    target's, so that the same priors weigh alike in both.
+    """
+
+    def __init__(self, words: np.ndarray, pairs: np.ndarray, classes: int, scale: float) -> None:
+        self.words, self.pairs, self.classes, self.scale = words, pairs, classes, scale
+        self.total = float(words.sum())
+        of_class = np.where(np.arange(len(words)) < classes, np.arange(len(words)), 0)
+        self.class_counts = np.bincount(of_class, weights=words, minlength=classes)
+        self.before = pairs.reshape(classes, classes).sum(axis=1).astype(float)
+        self.of_class = of_class
+
+    def loss(self, ids: np.ndarray, cells: np.ndarray, own: bool) -> float:
+        """Mean negative log-probability of the words. With ``own`` the text's own counts are taken
+        out first, so a text that the model was counted on isn't scored by itself."""
+        kinds = self.of_class[ids]
+        earlier = cells // self.classes
+        out = (lambda values: _repeats(values)) if own else (lambda values: 0)
+        word = (self.words[ids] - out(ids)) * self.scale
+        kind = (self.class_counts[kinds] - out(kinds)) * self.scale
+        pair = (self.pairs[cells] - out(cells)) * self.scale
+        before = (self.before[earlier] - out(earlier)) * self.scale
+        total = (self.total - len(ids) * own) * self.scale
+        size = len(self.words)
+        p_word = (word + WORD_PRIOR) / (total + WORD_PRIOR * size)
+        p_kind = (kind + WORD_PRIOR) / (total + WORD_PRIOR * size)
+        p_pair = (pair + BIGRAM_PRIOR * p_kind) / (before + BIGRAM_PRIOR)
+        within = np.minimum((word + WORD_PRIOR) / (kind + WORD_PRIOR), 1.0)
+        p = BIGRAM_SHARE * p_pair * within + (1 - BIGRAM_SHARE) * p_word
+        return float(-np.log(p).mean())
+
+
+def _repeats(values: np.ndarray) -> np.ndarray:
+    """For each value how often it occurs in the array."""
+    _, inverse, counts = np.unique(values, return_inverse=True, return_counts=True)
+    return counts[inverse]
+
+
+def cross_entropy_difference(
+    documents: DataFrame, target: DataFrame, size: int = VOCABULARY, classes: int = CLASSES
+) -> DataFrame:
+    """Per row: doc_id, n_words, target_loss, background_loss and score, their difference.
+
+    ``target`` (text) is the domain wanted, the documents are the background. Losses are in nats
+    per word; a negative score says that a document is more like the target. Both models count
+    whole texts of whole tables over one vocabulary of fixed size.
+
+    Null and empty texts have zero words, losses and score; repeated rows count and are scored
+    each; with an empty target its model is uniform; an empty table gives no rows; other columns
+    are ignored. Models are sent with the tasks; their size is fixed by ``size`` and ``classes``.
+    """
+    wanted = text_or_empty("text").cast("binary").alias("text")
+    texts = documents.select(wanted, F.lit(False).alias("is_target")).unionAll(
+        target.select(wanted, F.lit(True).alias("is_target"))
+    )
+    lexicon = Lexicon(vocabulary(texts, size), classes)
+    words, pairs = model_counts(texts, lexicon)
+    sums = np.maximum(words.sum(axis=1), 1)
+    models = documents.sparkSession.sparkContext.broadcast(
+        (lexicon, Model(words[1], pairs[1], classes, 1.0), Model(words[0], pairs[0], classes, sums[1] / sums[0]))
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_lexicon, wanted_model, background = models.value
+        for batch in batches:
+            counts, losses = [], []
+            for text in batch.column("text"):
+                ids = own_lexicon.ids(text.as_py())
+                counts.append(len(ids))
+                if len(ids):
+                    cells = own_lexicon.pairs(ids)
+                    losses.append((wanted_model.loss(ids, cells, False), background.loss(ids, cells, True)))
+                else:
+                    losses.append((0.0, 0.0))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(counts, pa.int64()),
+                 *(pa.array([pair[i] for pair in losses], pa.float64()) for i in (0, 1)),
+                 pa.array([a - b for a, b in losses], pa.float64())],
+                ["doc_id", "n_words", "target_loss", "background_loss", "score"],
+            )
+
+    kind = dict(documents.dtypes)["doc_id"]
+    return documents.select("doc_id", wanted).mapInArrow(
+        run, f"doc_id {kind}, n_words bigint, target_loss double, background_loss double, score double"
+    )

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from payments_lake.llm.common import table
+from payments_lake.llm.cross_entropy import cross_entropy_difference
 from payments_lake.llm.decontamination import contained_items
 from payments_lake.llm.jaccard_join import linked_components
 from payments_lake.llm.license_scan import scanned
@@ -15,6 +16,7 @@ from payments_lake.llm.packing import pack
 from payments_lake.llm.quality_rules import quality_rules
 from payments_lake.llm.secret_scan import scan
 from payments_lake.llm.token_counts import token_counts
+from payments_lake.llm.toxicity import toxicity
 from payments_lake.llm.warc import archived_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,10 +52,21 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
 
+def op9_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations are the target domain."""
+    return cross_entropy_difference(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "conversations")
+    )
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -65,7 +78,9 @@ QUERIES: dict[str, Query] = {
     "op4_jaccard_join": op4_jaccard_join,
     "op5_packing": op5_packing,
     "op6_quality_rules": op6_quality_rules,
+    "op7_toxicity": op7_toxicity,
     "op8_secret_scan": op8_secret_scan,
+    "op9_cross_entropy": op9_cross_entropy,
     "op10_decontamination": op10_decontamination,
 }
 ORACLE: dict[str, str] = {}
