@@ -32,7 +32,13 @@ SEED_WORDS = frozenset(
 WORD = re.compile(r"[^\W\d_]+")
 MASKED = re.compile(r"[^\W\d_][*#@$]{2,}[^\W\d_]?")
 SHOUTED = re.compile(r"!{2,}")
-VOTERS = ("seed", "words_0", "words_1", "words_2", "prefix_4", "prefix_5", "prefix_6", "masked", "shouted", "capitals")
+BANDS = ("sure", "strong", "likely")
+VOTERS = (
+    "seed", *(f"words_{band}" for band in BANDS), *(f"starts_{band}" for band in BANDS),
+    "masked", "shouted", "capitals",
+)
+# Rate among clean rows over rate among toxic rows, up to which a tie is strong, or a tie at all.
+STRONG, LIKELY = 0.02, 0.2
 
 
 def features(text: str) -> set[str]:
@@ -87,25 +93,29 @@ def chance(a: int, n: int, p: float) -> float:
 
 
 def find_lexicons(texts: list[str], labels: list[int]) -> Voters:
-    """Voters from a labelled sample: the seed words, and words and beginnings tied to the label."""
+    """Voters from a labelled sample: the seed words, and words and beginnings tied to the label.
+
+    Those never seen in a clean row, seldom seen there, and seen less than in toxic rows vote
+    apart, as their accuracies differ.
+    """
     seen: tuple[Counter, Counter] = (Counter(), Counter())
     for text, label in zip(texts, labels, strict=True):
         seen[label].update(features(text))
-    toxic = sum(labels)
-    p = min(max(toxic / max(len(labels), 1), 1e-6), 1 - 1e-6)
-    found = [
-        (chance(n, n + seen[0][f], p), f) for f, n in seen[1].items() if n >= 3 and n > 4 * p * seen[0][f]
-    ]
-    tied = [f for c, f in sorted(found)[:MOST_FEATURES] if c <= MAX_CHANCE]
+    toxic, clean = max(sum(labels), 1), max(len(labels) - sum(labels), 1)
+    p = toxic / (toxic + clean)
+    found = []
+    for f, n in seen[1].items():
+        other = seen[0][f]
+        ratio = (other / clean) / (n / toxic)
+        if n >= 3 and ratio <= LIKELY and (c := chance(n, n + other, p)) <= MAX_CHANCE:
+            found.append((c, f, 0 if not other else 1 if ratio <= STRONG else 2))
     voters = Voters()
-    for f in [*tied, *sorted(SEED_WORDS.difference(tied))]:
-        if f.startswith("~"):
-            bits = 1 << VOTERS.index(f"prefix_{len(f) - 1}")
-        else:
-            bits = (f in tied) << VOTERS.index(f"words_{len(f) % 3}")
-            bits |= (f in SEED_WORDS) << VOTERS.index("seed")
-        voters.number[f] = len(voters.number)
-        voters.lexicon[f] = bits
+    for _, f, band in sorted(found)[:MOST_FEATURES]:
+        kind = "starts" if f.startswith("~") else "words"
+        voters.lexicon[f] = 1 << VOTERS.index(f"{kind}_{BANDS[band]}")
+    for f in sorted(SEED_WORDS):
+        voters.lexicon[f] = voters.lexicon.get(f, 0) | 1 << VOTERS.index("seed")
+    voters.number = {f: i for i, f in enumerate(voters.lexicon)}
     return voters
 
 
@@ -232,8 +242,10 @@ def toxicity(
     empty table gives no rows; other columns are ignored.
     """
     sample = [(r.text, r.toxic) for r in training_rows(documents, labels, per_class).collect()]
-    sample.sort()  # the order of rows that arrive doesn't matter
-    voters = find_lexicons([t for t, _ in sample], [y for _, y in sample])
+    sample.sort()  # the order in which rows arrive doesn't matter
+    # Lexicons are found on two thirds; the accuracies start from the rest, which they haven't seen.
+    found_on = [row for i, row in enumerate(sample) if i % 3]
+    voters = find_lexicons([t for t, _ in found_on], [y for _, y in found_on])
     rows = documents.select("doc_id", text_or_empty("text").alias("text"))
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,9 +262,10 @@ def toxicity(
         .agg(F.sum("n").alias("n")).orderBy("votes").collect()
     )
     read = [voters.read(text) for text, _ in sample]
+    rest = [(bits, y) for (bits, _), (_, y) in zip(read[::3], sample[::3], strict=True)]
     model = LabelModel(
         np.array([r.votes for r in patterns], np.int64), np.array([r.n for r in patterns], float),
-        np.array([bits for bits, _ in read], np.int64), np.array([y for _, y in sample], np.int64),
+        np.array([bits for bits, _ in rest], np.int64), np.array([y for _, y in rest], np.int64),
     )
     targets = model.posterior(np.array([bits for bits, _ in read], np.int64)) if read else np.empty(0)
     classifier = Classifier(read, targets, len(voters.number))
