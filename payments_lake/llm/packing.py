@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -12,7 +13,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from payments_lake.llm.common import text_or_empty
-from payments_lake.llm.pieces import PieceCache
+from payments_lake.llm.pieces import PieceCache, is_word
+from payments_lake.llm.token_counts import byte_letters
 
 SEQUENCE = 1024
 # A task refills its partly filled windows once it has this many, which bounds its memory.
@@ -134,8 +136,21 @@ def encoder(path: str) -> PieceCache:
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(path)
+    described = json.loads(library.to_str())
+    splitting = described["pre_tokenizer"] or {}
+    plain = (
+        described["normalizer"] is None
+        and splitting.get("type") == "ByteLevel"
+        and not splitting["add_prefix_space"]
+    )
+    letters = {i: letter for i, letter in enumerate(byte_letters())}
+    model = library.model
 
     def value(text: str) -> bytes:
+        if plain and is_word(text.removeprefix(" ")):
+            # A single word needs no splitting rule: the model takes its bytes as letters.
+            word = text.encode().decode("latin-1").translate(letters)
+            return np.array([token.id for token in model.tokenize(word)], "<u4").tobytes()
         return np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     return PieceCache(value, b"".join)

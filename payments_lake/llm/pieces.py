@@ -19,6 +19,12 @@ def pieces(text: str) -> tuple[str, Iterable[str]]:
     return parts[0], parts[1:]
 
 
+def is_word(piece: str) -> bool:
+    """Letters only, of scripts whose letters every Unicode version agrees on. Such a word is a
+    token of its own whatever punctuation follows."""
+    return piece.isalpha() and (piece.isascii() or max(piece) < "\u0500")
+
+
 class PieceCache(dict):
     """Values of pieces with a leading space; ``bare`` has those of pieces without one.
 
@@ -38,7 +44,11 @@ class PieceCache(dict):
             first, *rest = lines
             found = self.join(self._lined(first, rest))
         else:
-            found = self.value(self.lead + piece)
+            core = piece.rstrip(".,;:!?")
+            if len(core) < len(piece) and is_word(core):
+                found = self.join(iter((self[core], self.bare[piece[len(core) :]])))
+            else:
+                found = self.value(self.lead + piece)
         if len(piece) <= LONGEST_CACHED:
             if len(self) >= MOST_CACHED:
                 self.clear()
