@@ -12,6 +12,7 @@ from payments_lake.llm.cross_entropy import cross_entropy_difference
 from payments_lake.llm.decontamination import contained_items
 from payments_lake.llm.jaccard_join import linked_components
 from payments_lake.llm.license_scan import scanned
+from payments_lake.llm.oracle import ORACLE
 from payments_lake.llm.packing import pack
 from payments_lake.llm.quality_rules import quality_rules
 from payments_lake.llm.secret_scan import scan
@@ -19,6 +20,8 @@ from payments_lake.llm.token_counts import token_counts
 from payments_lake.llm.toxicity import toxicity
 from payments_lake.llm.warc import archived_pages
 
+__all__ = ["ORACLE", "QUERIES"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -83,4 +86,3 @@ QUERIES: dict[str, Query] = {
     "op9_cross_entropy": op9_cross_entropy,
     "op10_decontamination": op10_decontamination,
 }
-ORACLE: dict[str, str] = {}
