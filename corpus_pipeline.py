@@ -12,7 +12,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from payments_lake.llm.common import table, written
+from payments_lake.llm.common import table, with_package, written
 from payments_lake.llm.decontamination import decontaminated
 from payments_lake.llm.jaccard_join import one_per_component
 from payments_lake.llm.packing import pack
@@ -47,13 +47,13 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES: list[tuple[str, Stage]] = [
+STAGES: list[tuple[str, Stage]] = [(name, with_package(stage)) for name, stage in (
     ("quality_rules", quality),
     ("near_duplicates", near_duplicates),
     ("decontamination", decontaminate),
     ("secret_scan", secrets),
     ("packing", packing),
-]
+)]
 
 # Certified cutoffs, trained models and packing have no SQL form; tests hold the stages against
 # brute-force versions.

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +17,21 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SPACE = r"\x20\x09-\x0D"
 
 
+def with_package(work: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The same function, after making sure that Python workers on this machine can import the
+    library. On other machines it is installed, or sent with ``--py-files``, as usual."""
+
+    @wraps(work)
+    def run(spark: SparkSession, *rest) -> DataFrame:
+        root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+        paths = [p for p in known.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if root not in paths:
+            known["PYTHONPATH"] = os.pathsep.join([*paths, root])
+        return work(spark, *rest)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

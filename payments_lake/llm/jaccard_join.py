@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from payments_lake.llm.common import text_or_empty, written
@@ -23,13 +23,24 @@ COMMON_FROM = 50
 COUNT_STRETCH = 4_000_000
 COUNT_FROM = 4
 # Rounds in which groups of similar documents grow around pivots before the matrix is built.
-ROUNDS = 3
+ROUNDS = 2
 PIVOTS = 2
+# Similar sets share a tenth of the smaller one's tokens, and at least one, within their prefixes.
+LEAD = 10
 
 
 def prefix_length(size: int, percent: int = PERCENT) -> int:
-    """Two sets as similar as that share one of the first so many tokens of either."""
-    return size - (percent * size + 99) // 100 + 1
+    """Length of a set's prefix in the common order of tokens.
+
+    Similar sets have at least ``percent`` of either in common. The k-th token they share comes
+    before all but so many of its tokens, so prefixes that are longer by k share at least k.
+    """
+    return size - (percent * size + 99) // 100 + max(1, size // LEAD)
+
+
+def lead(size: Column) -> Column:
+    """Tokens that prefixes share when the smaller set has this size."""
+    return F.greatest(F.lit(1).cast("long"), F.floor(size / LEAD))
 
 
 def _set_id(tokens: np.ndarray) -> int:
@@ -118,21 +129,23 @@ def shingle_sets(texts: DataFrame, common: np.ndarray, percent: int = PERCENT) -
     )
 
 
-def shared_places(sets: DataFrame) -> DataFrame:
-    """(token, set_id, size, rest) of each prefix token that two different sets have. ``rest`` is
-    the number of the set's tokens from this one on."""
-    places = (
-        sets.filter("prefix is not null")
-        .select("set_id", "size", F.posexplode("prefix").alias("rank", "token"))
-        .select("token", "set_id", "size", (F.col("size") - F.col("rank")).alias("rest"))
-    )
+def shared_places(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(token, set_id, size) of the prefix tokens that two different sets have, without sets that
+    share too few tokens in all to be similar to any other."""
     token = Window.partitionBy("token")
-    return (
-        places.withColumn("least", F.min("set_id").over(token))
+    shared = written(
+        sets.filter("prefix is not null")
+        .select(F.explode("prefix").alias("token"), "set_id", "size")
+        .withColumn("least", F.min("set_id").over(token))
         .withColumn("most", F.max("set_id").over(token))
         .filter("least <> most")
-        .drop("least", "most")
+        .select("token", "set_id", "size")
+        .distinct(),
+        "shared",
     )
+    smallest = F.ceil(percent * F.col("size") / 100)
+    live = shared.groupBy("set_id", "size").agg(F.count("*").alias("n")).filter(F.col("n") >= lead(smallest))
+    return written(shared.join(live.select("set_id"), "set_id", "left_semi"), "places")
 
 
 def pivot_pairs(places: DataFrame, seed: int) -> DataFrame:
@@ -140,17 +153,20 @@ def pivot_pairs(places: DataFrame, seed: int) -> DataFrame:
 
     A pivot is a set drawn by hash from all that have the token; tokens share ``PIVOTS`` ways to
     draw, so large groups have few pivots and pairs grow with the sets, not with their square.
+    Pairs that meet at few tokens are left to the matrix.
     """
     drawn = F.struct(
         F.xxhash64("set_id", F.pmod("token", F.lit(PIVOTS)), F.lit(seed)).alias("key"),
-        F.col("set_id").alias("pivot"), F.col("group").alias("group"),
+        F.col("set_id").alias("pivot"), F.col("size").alias("size"), F.col("group").alias("group"),
     )
     pivot = F.min(drawn).over(Window.partitionBy("token"))
     return (
         places.withColumn("drawn", pivot)
         .filter("drawn.group <> group")
-        .select(F.col("drawn.pivot").alias("a"), F.col("set_id").alias("b"))
-        .distinct()
+        .groupBy(F.col("drawn.pivot").alias("a"), F.col("set_id").alias("b"))
+        .agg(F.count("*").alias("n"), F.min(F.least("drawn.size", "size")).alias("smaller"))
+        .filter(2 * PIVOTS * F.col("n") >= lead(F.col("smaller")))
+        .select("a", "b")
     )
 
 
@@ -158,29 +174,36 @@ def matrix_pairs(places: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Pairs (a, b) left after the token-group matrix: every pair of sets in different groups that
     may be similar.
 
-    The matrix has a row for each token in the union of a group's prefixes, with bounds over the
-    members that have it: their sizes and their remaining tokens. A set meets a group where they
-    share a token. At their first one the overlap with any member is at most the smaller remainder,
-    and must reach what the sizes ask for; groups that fail stay closed, qualifying ones are opened.
+    The matrix has a row for each token in the union of a group's prefixes, with the sizes of the
+    members that have it. Its rows at a set's tokens add up to the overlap of the set with the
+    group's union, which bounds that with any member. Where the bound is below what the sizes ask
+    for, the group stays closed; qualifying groups are opened and counted member by member.
     """
+    size = F.col("size")
     matrix = places.groupBy("token", F.col("group").alias("met")).agg(
-        F.min("size").alias("smallest"), F.max("size").alias("largest"), F.max("rest").alias("most_rest")
+        F.min("size").alias("smallest"), F.max("size").alias("largest")
     )
-    size, rest = F.col("size"), F.col("rest")
     least_size = F.greatest(F.col("smallest"), F.ceil(percent * size / 100))
-    bound = F.least(rest, F.col("most_rest")) * (100 + percent) >= percent * (size + least_size)
     qualifying = (
         places.join(matrix, "token")
         .filter(F.col("group") > F.col("met"))
-        .filter((100 * F.col("largest") >= percent * size) & (percent * F.col("smallest") <= 100 * size) & bound)
-        .select("token", F.col("set_id").alias("a"), "met", size.alias("a_size"), rest.alias("a_rest"))
+        .groupBy("set_id", "size", "met")
+        .agg(F.count("*").alias("overlap"), F.min("smallest").alias("smallest"), F.max("largest").alias("largest"))
+        .filter((100 * F.col("largest") >= percent * size) & (percent * F.col("smallest") <= 100 * size))
+        .filter(F.col("overlap") >= lead(F.least(size, least_size)))
+        .select("set_id", "met")
+    )
+    queries = places.join(qualifying, "set_id").select(
+        "token", "met", F.col("set_id").alias("a"), size.alias("a_size")
     )
-    members = places.select("token", F.col("group").alias("met"), F.col("set_id").alias("b"), "size", "rest")
+    members = places.select("token", F.col("group").alias("met"), F.col("set_id").alias("b"), "size")
     return (
-        qualifying.join(members, ["token", "met"])
+        queries.join(members, ["token", "met"])
         .filter((100 * F.col("a_size") >= percent * size) & (percent * F.col("a_size") <= 100 * size))
-        .filter(F.least("a_rest", rest) * (100 + percent) >= percent * (F.col("a_size") + size))
-        .select("a", "b").distinct()
+        .groupBy("a", "b", F.least("a_size", "size").alias("smaller"))
+        .agg(F.count("*").alias("n"))
+        .filter(F.col("n") >= lead(F.col("smaller")))
+        .select("a", "b")
     )
 
 
@@ -224,7 +247,7 @@ def linked_components(documents: DataFrame, percent: int = PERCENT) -> DataFrame
     texts = texts.withColumn("text_hash", F.xxhash64("text"))
     sets = written(shingle_sets(texts, common_tokens(texts), percent), "sets")
     named = sets.filter("set_id is not null")
-    places = written(shared_places(named), "places")
+    places = shared_places(named, percent)
     live = places.select("set_id").distinct()
     first = named.groupBy("set_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
     wanted = first.join(live, "set_id", "left_semi")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from payments_lake.llm.common import table
+from payments_lake.llm.common import table, with_package
 from payments_lake.llm.cross_entropy import cross_entropy_difference
 from payments_lake.llm.decontamination import contained_items
 from payments_lake.llm.jaccard_join import linked_components
@@ -74,7 +74,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Query] = {
+QUERIES: dict[str, Query] = {name: with_package(query) for name, query in {
     "op1_warc_chunks": op1_warc_chunks,
     "op2_license_scan": op2_license_scan,
     "op3_token_counts": op3_token_counts,
@@ -85,4 +85,4 @@ QUERIES: dict[str, Query] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_cross_entropy": op9_cross_entropy,
     "op10_decontamination": op10_decontamination,
-}
+}.items()}
