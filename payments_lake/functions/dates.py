@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DATE_PATTERN = r"^\d{4}/\d{1,2}/(?:\d{1,2}| \d)$"
+# The end is the very end: a dollar sign would also match before a last line break.
+DATE_PATTERN = r"^\d{4}/\d{1,2}/(?:\d{1,2}| \d)\z"
 TIMESTAMP_PATTERN = (
-    r"^\d{4}/\d{1,2}/(?:\d{1,2}| \d) (?:0?[1-9]|1[0-2]):\d{1,2}:\d{1,2} [AaPp][Mm]$"
+    r"^\d{4}/\d{1,2}/(?:\d{1,2}| \d) (?:0?[1-9]|1[0-2]):\d{1,2}:\d{1,2} [AaPp][Mm]\z"
 )
 
 

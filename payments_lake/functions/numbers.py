@@ -11,14 +11,10 @@ from payments_lake.functions.text import trim_text
 NUMBER_PATTERN = (
     r"^[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf(?:inity)?))\s*$"
 )
-# Money as it is usually written: digits with separators, at most in one pair of brackets. Without
-# an exponent and of this length no such text overflows a double.
-USUAL_MONEY = r"^\s*(?:\([0-9.,$+\-\s]{0,300}\)|[0-9.,$+\-\s]{0,300})\s*$"
+# Money as it is usually written: digits with separators, at most in one pair of brackets.
+USUAL_MONEY = r"^\s*(?:\([0-9.,$+\-\s]*\)|[0-9.,$+\-\s]*)\s*$"
 INFINITY = float("inf")
 
-# Above this size a double has no digits left that a decimal(24, 6) could add.
-EXACT_LIMIT = 1e18
-
 
 def to_double(c: Column) -> Column:
     """Text as a double, or null. A number too large for a double is null as well, a
@@ -33,6 +29,7 @@ def clean_numeric(c: Column) -> Column:
     The usual form needs one pass over its characters; any other form is taken apart.
     """
     usual = F.translate(c, "(,$)", "-").try_cast("double")
+    usual = F.when(F.abs(usual) < INFINITY, usual)  # more digits than a double can hold
     digits = F.translate(trim_text(c), ",$", "")
     other = to_double(F.regexp_replace(digits, r"^\((.*)\)$", "-$1"))
     return F.when(c.rlike(USUAL_MONEY), usual).otherwise(other)
@@ -57,28 +54,32 @@ def year_label(number: Column) -> Column:
 
 
 def exact_total(c: Column) -> Column:
-    """Sum of a double column that does not depend on row order; 0 for no values.
+    """Sum of a double column; 0 for no values.
 
-    Values go through decimal so that partial sums are exact and opposite entries cancel to
-    zero. Values beyond the decimal range, infinities included, are added as doubles.
+    Each value is split in two: a decimal with six places, whose sums are exact, so partial sums
+    agree in any row order and opposite entries cancel to zero; and what the decimal leaves over,
+    which is zero for money and is added as doubles. Values that no decimal can hold, infinities
+    included, are left over whole. No digit is dropped, whatever the size.
     """
-    inside = F.abs(c) < EXACT_LIMIT
-    return merge_totals(exact_part(c, inside), F.sum(F.when(~inside, c)))
+    return merge_totals(exact_part(c), rest_part(c))
+
+
+def _in_decimal(c: Column) -> Column:
+    return F.coalesce(c.try_cast("decimal(24,6)"), F.lit(0).cast("decimal(24,6)"))
 
 
-def exact_part(c: Column, inside: Column | None = None) -> Column:
+def exact_part(c: Column) -> Column:
     """The exact decimal part of :func:`exact_total`, mergeable across partial groups."""
-    inside = F.abs(c) < EXACT_LIMIT if inside is None else inside
-    return F.sum(F.when(inside, c.try_cast("decimal(24,6)")))
+    return F.sum(_in_decimal(c))
 
 
-def oversize_part(c: Column) -> Column:
-    """The double part of :func:`exact_total`: values beyond the decimal range."""
-    return F.sum(F.when(F.abs(c) >= EXACT_LIMIT, c))
+def rest_part(c: Column) -> Column:
+    """The double part of :func:`exact_total`: what the decimals leave over."""
+    return F.sum(c - _in_decimal(c).cast("double"))
 
 
-def merge_totals(exact: Column, oversize: Column) -> Column:
-    return F.coalesce(exact.cast("double"), F.lit(0.0)) + F.coalesce(oversize, F.lit(0.0))
+def merge_totals(exact: Column, rest: Column) -> Column:
+    return F.coalesce(exact.cast("double"), F.lit(0.0)) + F.coalesce(rest, F.lit(0.0))
 
 
 def percent(part: Column, whole: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payments_lake.functions import exact_total, nullify_tokens
-from payments_lake.functions.numbers import exact_part, merge_totals, oversize_part
+from payments_lake.functions.numbers import exact_part, merge_totals, rest_part
 
 # Metric name -> summed silver column.
 TOTALS = {
@@ -124,7 +124,7 @@ def mart_base(silver: DataFrame) -> DataFrame:
         .groupBy(*BASE_KEYS)
         .agg(
             *[exact_part(F.col(c)).alias(f"{metric}_exact") for metric, c in TOTALS.items()],
-            *[oversize_part(F.col(c)).alias(f"{metric}_oversize") for metric, c in TOTALS.items()],
+            *[rest_part(F.col(c)).alias(f"{metric}_rest") for metric, c in TOTALS.items()],
             F.count("source_row_hash").alias("record_count"),
             *[F.count_if(F.col(c)).alias(metric) for metric, c in FLAG_COUNTS.items()],
         )
@@ -135,7 +135,7 @@ def roll_up(base: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The same result as :func:`group_metrics`, from :func:`mart_base`."""
     return base.groupBy(*keys).agg(
         *[
-            merge_totals(F.sum(f"{metric}_exact"), F.sum(f"{metric}_oversize")).alias(metric)
+            merge_totals(F.sum(f"{metric}_exact"), F.sum(f"{metric}_rest")).alias(metric)
             for metric in TOTALS
         ],
         F.sum("record_count").alias("record_count"),

@@ -16,8 +16,6 @@ from payments_lake.schema import FISCAL_YEAR, RAW_COLUMNS, ROW_ID, assert_raw_sc
 SEED = 42
 ROWS_PER_YEAR = 500
 SLICE_DIGITS = 4  # 65,536 slices
-# Strata whose cut-off is sent to every task; rows of smaller strata are ranked without one.
-MAX_CUT_STRATA = 10_000
 
 KEY = "_sample_key"
 SLICE = "_sample_slice"
@@ -48,9 +46,13 @@ def simple_sample(raw: DataFrame, n: int, seed: int = SEED, row_id: str = ROW_ID
     """``n`` rows without replacement, or all rows when there are fewer."""
     keyed = _keyed(raw, row_id, seed)
     slices = keyed.groupBy(SLICE).agg(F.count(F.lit(1)).alias("rows"))
-    wanted = slices.withColumn("before", _rows_in_earlier_slices()).filter(F.col("before") < n)
-    last = wanted.agg(F.max(SLICE)).scalar()
-    return keyed.filter(F.col(SLICE) <= last).orderBy(KEY).limit(n).select(*RAW_COLUMNS)
+    counted = slices.withColumn("before", _rows_in_earlier_slices())
+    wanted = counted.filter(F.col("before") < n)
+    last, missing = wanted.agg(F.max(SLICE)).scalar(), F.lit(n) - wanted.agg(F.max("before")).scalar()
+    # Earlier slices are taken whole; rows of the last one by rank. Slices are ranked side by side.
+    rank = F.row_number().over(Window.partitionBy(SLICE).orderBy(KEY))
+    ranked = keyed.filter(F.col(SLICE) <= last).withColumn("_rank", rank)
+    return ranked.filter((F.col(SLICE) < last) | (F.col("_rank") <= missing)).select(*RAW_COLUMNS)
 
 
 def stratified_sample(
@@ -75,10 +77,8 @@ def stratified_sample(
         .groupBy(STRATUM)
         .agg(F.sum("rows").alias("total"), F.max(needed).alias("last_slice"))
     )
-    cuts = strata.orderBy(F.desc("total"), STRATUM).limit(MAX_CUT_STRATA).drop("total")
-    candidates = keyed.join(F.broadcast(cuts), STRATUM, "left").filter(
-        F.col("last_slice").isNull() | (F.col(SLICE) <= F.col("last_slice"))
-    )
+    # One row per stratum: Spark sends it to all tasks while it is small, and joins it otherwise.
+    candidates = keyed.join(strata.drop("total"), STRATUM).filter(F.col(SLICE) <= F.col("last_slice"))
     if strict:
         smallest = strata.agg(F.min("total")).scalar()
         enough = F.when(

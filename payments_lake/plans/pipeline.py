@@ -21,9 +21,9 @@ from payments_lake.operators.sampling import ROWS_PER_YEAR, stratified_sample
 from payments_lake.operators.silver import to_silver
 from payments_lake.operators.structure import (
     head_rows,
-    profile_scan,
+    profile_landed,
     profile_schema,
-    widths_of_scan,
+    widths_of_landed,
 )
 from payments_lake.operators.time import profile_time_coverage
 from payments_lake.operators.types import profile_data_types
@@ -37,8 +37,8 @@ from payments_lake.plans.readiness import readiness_summary
 from payments_lake.schema import ROW_HASH
 from payments_lake.session import configure
 from payments_lake.sources import (
+    file_sizes,
     land_raw,
-    permissive_scan,
     read_silver,
     read_table,
     write_silver,
@@ -212,18 +212,20 @@ def run(
     return summary
 
 
-def profile(spark: SparkSession, raw_path: str, out_dir: str, multiline: bool | None = None) -> None:
+def profile(spark: SparkSession, raw_path: str, out_dir: str, head: int | None = None) -> None:
     """Write the readiness profiles of the landed table as report tables.
 
-    Run after :func:`run` or :func:`~payments_lake.sources.land_raw`: only the file-structure
-    profile reads the raw files again.
+    Run after :func:`run` or :func:`~payments_lake.sources.land_raw`. The raw files are listed for
+    their sizes but not read again. ``head`` takes types and sample values from the first so many
+    rows; by default all rows are read.
     """
     layout = Layout(out_dir)
     landed = read_table(spark, layout.landed)
-    scan = permissive_scan(spark, raw_path, multiline)
     reports: dict[str, Callable[[], DataFrame]] = {
-        "file_structure": lambda: profile_scan(scan),
-        "schema": lambda: profile_schema(landed, head_rows(landed)),
+        "file_structure": lambda: profile_landed(landed, file_sizes(spark, raw_path)),
+        "schema": lambda: profile_schema(
+            landed, None if head is None else head_rows(landed, head)
+        ),
         "data_types": lambda: profile_data_types(landed),
         "missing_values": lambda: profile_missing(landed).unionByName(
             missing_example_report(landed)
@@ -234,7 +236,7 @@ def profile(spark: SparkSession, raw_path: str, out_dir: str, multiline: bool |
         ),
         "dimensions": lambda: profile_dimensions(landed),
         "time_coverage": lambda: profile_time_coverage(landed),
-        "readiness": lambda: readiness_summary(landed, widths_of_scan(scan)),
+        "readiness": lambda: readiness_summary(landed, widths_of_landed(landed)),
     }
     for name, build in reports.items():
         write_table(build(), layout.report(name))

@@ -125,7 +125,8 @@ FILL_VALUE = "Unknown"
 ROW_ID = "_row_id"
 ROW_HASH = "source_row_hash"
 CORRUPT_RECORD = "_corrupt_record"
-LANDING_COLUMNS = [ROW_ID, ROW_HASH, CORRUPT_RECORD]
+WIDTH = "_width"
+LANDING_COLUMNS = [ROW_ID, ROW_HASH, CORRUPT_RECORD, WIDTH]
 
 RAW_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in RAW_COLUMNS])
 

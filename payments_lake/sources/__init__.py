@@ -5,19 +5,19 @@ from payments_lake.sources.lake import read_silver, read_table, write_silver, wr
 from payments_lake.sources.raw_csv import (
     field_count,
     file_sizes,
+    files_that_span_lines,
     land_raw,
     parse_records,
     permissive_scan,
     raw_scan,
     read_landed,
-    spans_lines,
-    with_landing_columns,
 )
 
 __all__ = [
     "bridge",
     "field_count",
     "file_sizes",
+    "files_that_span_lines",
     "land_raw",
     "parse_records",
     "permissive_scan",
@@ -26,8 +26,6 @@ __all__ = [
     "read_landed",
     "read_silver",
     "read_table",
-    "spans_lines",
-    "with_landing_columns",
     "write_silver",
     "write_table",
 ]

@@ -14,20 +14,23 @@ from payments_lake.operators.silver import to_silver
 from payments_lake.operators.structure import (
     head_rows,
     malformed_with_row_numbers,
-    profile_scan,
+    profile_landed,
     row_width_histogram,
     sample_values,
+    widths_of_landed,
     widths_of_scan,
 )
 from payments_lake.plans import pipeline
 from payments_lake.schema import RAW_COLUMNS, ROW_HASH, ROW_ID, SILVER_COLUMNS
 from payments_lake.sources import (
+    file_sizes,
+    files_that_span_lines,
     land_raw,
     permissive_scan,
     raw_scan,
+    read_landed,
     read_silver,
     read_table,
-    spans_lines,
 )
 from payments_lake.sources.bridge import bridge
 
@@ -52,7 +55,7 @@ def test_scan_reads_bom_quotes_and_line_breaks(spark, scratch):
         f"{scratch}/a.csv",
         [cells(), cells(**{"Contract Title": 'a "b", c\nd'}), cells(Department="N/A"), cells()[:-2]],
     )
-    assert spans_lines(spark, path)
+    assert list(files_that_span_lines(spark, path).values()) == [True]
     rows = raw_scan(spark, path).collect()
     assert rows[0]["Fiscal Year"] == "2019"
     assert rows[1]["Contract Title"] == 'a "b", c\nd'
@@ -60,7 +63,7 @@ def test_scan_reads_bom_quotes_and_line_breaks(spark, scratch):
     assert rows[3]["Purchasing Authority Description"] is None
     assert rows[0]["Non-Profit Indicator"] is None
     plain = write_csv(f"{scratch}/b.csv", [cells(**{"Contract Title": 'a "b", c'})])
-    assert not spans_lines(spark, plain)
+    assert list(files_that_span_lines(spark, plain).values()) == [False]
     assert raw_scan(spark, plain).first()["Contract Title"] == 'a "b", c'
 
 
@@ -90,7 +93,12 @@ def test_structure_of_malformed_file(spark, scratch, multiline):
         (22, 33, 35),
     ]
     assert bad[0].preview.startswith("2019 | NO | 2 | Public Works")
-    report = {(r.column_name, r.metric): r.value for r in profile_scan(scan).collect()}
+    with pytest.raises(ValueError, match="too many fields"):
+        land_raw(spark, path, f"{scratch}/landed", multiline)
+    landed = read_landed(spark, f"{scratch}/landed")  # the profile can still name the record
+    profile = profile_landed(landed, file_sizes(spark, path))
+    assert "FileScan csv" not in profile._jdf.queryExecution().executedPlan().toString()
+    report = {(r.column_name, r.metric): r.value for r in profile.collect()}
     assert report["", "total_rows"] == "30"
     assert report["", "malformed_rows"] == "2"
     assert report["6", "bad_row"].startswith("33|30|2019")
@@ -105,17 +113,49 @@ def test_landing_numbers_rows_and_head_is_exact(spark, scratch):
         landed = land_raw(spark, path, f"{scratch}/landed")
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    assert landed.select(F.shiftright(ROW_ID, 33)).distinct().count() > 1
+    assert landed.select(f"{ROW_ID}.block").distinct().count() > 1
     in_order = [r[0] for r in landed.orderBy(ROW_ID).select("Purchase Order").collect()]
     assert in_order == [str(i) for i in range(400)]
     for n in (1, 7, 150, 400, 1000):
         head = {int(r[0]) for r in head_rows(landed, n).select("Purchase Order").collect()}
         assert head == set(range(min(n, 400)))
+    odd = landed.filter(F.col("Purchase Order").cast("int") % 2 == 1)
+    assert {int(r[0]) for r in head_rows(odd, 50).select("Purchase Order").collect()} == set(range(1, 101, 2))
     samples = sample_values(landed).filter("column_name = 'Department'").orderBy("position")
     assert [r.value for r in samples.collect()] == ["D3", "D4", "D5", "D6", "D7"]
     assert landed.select(ROW_HASH).distinct().count() == 400
 
 
+def test_rows_of_several_files_keep_file_order(spark, scratch):
+    """The largest file isn't the first, each has several blocks, one has a line break."""
+    os.mkdir(f"{scratch}/raw")
+    for name, n in (("a", 130), ("b", 600), ("c", 90), ("d", 5)):
+        rows = [cells(**{"Purchase Order": f"{name}{i}", "Vouchers Paid": "7"}) for i in range(n)]
+        if name == "d":
+            rows[1] = cells(**{"Purchase Order": "d1", "Contract Title": "x\ny"})
+        if name in "bc":
+            rows[40] = cells(**{"Purchase Order": f"{name}40"})[:-3]
+        write_csv(f"{scratch}/raw/{name}.csv", rows)
+    expected = []
+    for name in "abcd":
+        with open(f"{scratch}/raw/{name}.csv", encoding="utf-8-sig", newline="") as file:
+            expected += [row[RAW_COLUMNS.index("Purchase Order")] for row in list(csv.reader(file))[1:]]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        landed = land_raw(spark, f"{scratch}/raw", f"{scratch}/landed")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    blocks = landed.groupBy(f"{ROW_ID}.file").agg(F.count_distinct(f"{ROW_ID}.block").alias("n"))
+    assert sorted(r.n > 1 for r in blocks.collect()) == [False, True, True, True]
+    assert [r[0] for r in landed.orderBy(ROW_ID).select("Purchase Order").collect()] == expected
+    head = head_rows(landed, 140).select("Purchase Order").collect()
+    assert {r[0] for r in head} == set(expected[:140])
+    bad = malformed_with_row_numbers(widths_of_landed(landed)).collect()
+    assert sorted((r.file.rsplit("/", 1)[1], r.row_number) for r in bad) == [("b.csv", 42), ("c.csv", 42)]
+    samples = sample_values(landed).filter("column_name = 'Purchase Order'").orderBy("position")
+    assert [r.value for r in samples.collect()] == expected[:5]
+
+
 @pytest.fixture(scope="module")
 def finished(spark, sf_dir, tmp_path_factory):
     """A pipeline run over the ledger written as CSV files."""

@@ -77,7 +77,8 @@ def test_parse_timestamp_ignores_session_zone(spark):
                     "2019/06/26 14:32:12 PM", "2019/06/26 00:32:12 AM", "2019/06/26 02:32:12 PM ",
                     " 2019/06/26 02:32:12 PM", "2019/06/26", "19/06/26 02:32:12 PM",
                     "2019/006/26 02:32:12 PM", "2019/06/26 02:60:12 PM", "2019/06/26 02:32:12PM",
-                    "2019/02/29 02:32:12 PM", "", None,
+                    "2019/02/29 02:32:12 PM", "2019/06/26 02:32:12 PM\n",
+                    "2019/06/26 02:32:12 PM\r\n", "", None,
                 ]
             ],
         ],
@@ -92,7 +93,7 @@ def test_parse_date(spark):
         [("2018/08/07", seventh), ("2018/8/7", seventh), ("2018/08/ 7", seventh)]
         + [
             (text, None)
-            for text in ["2018/02/30", "2018-08-07", "20180807", "2018/08/07 ", " 2018/08/07",
+            for text in ["2018/08/07\n", "2018/08/07\r\n", "2018/02/30", "2018-08-07", "20180807", "2018/08/07 ", " 2018/08/07",
                          "2018/008/07", "18/08/07", "unknown", None]
         ],
     )
@@ -148,3 +149,16 @@ def test_exact_total(spark, values, expected):
 def test_percent_of_nothing_is_zero(spark):
     row = spark.range(1).select(percent(F.lit(1), F.lit(3)), percent(F.lit(0), F.lit(0))).first()
     assert tuple(row) == (33.3333, 0.0)
+
+
+def test_exact_total_keeps_every_digit_in_any_order(spark):
+    def total(values):
+        frame = spark.createDataFrame([(v,) for v in values], "v double").repartition(4)
+        return frame.agg(exact_total(F.col("v")).alias("t")).first().t
+
+    assert abs(total([1e-7] * 1000) - 1e-4) < 1e-12
+    for values in ([2e18, 1.0, -2e18], [1.0, 2e18, -2e18], [-2e18, 2e18, 1.0]):
+        assert total(values) == 1.0
+    assert total([0.1] * 10 + [-0.1] * 10) == 0.0
+    assert total([INF, 1.0]) == INF
+    assert total([None, None]) == 0.0

@@ -2,8 +2,10 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, queries
 from verification.compare import compare, connect
+from verification.oracle import ORACLE
+from verification.queries import QUERIES
 
 SELECTED = [
     "silver_transform",
@@ -28,8 +30,8 @@ def test_query_equals_sql(spark, con, sf_dir, name):
 
 
 def test_every_query_but_the_file_listing_has_sql():
-    assert set(queries()) - set(oracle_sql()) == {"file_sizes"}
-    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) - set(ORACLE) == {"file_sizes"}
+    assert set(ORACLE) <= set(QUERIES) <= set(queries())
 
 
 def test_entry(spark):

@@ -143,7 +143,7 @@ def readiness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lineitem_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return file_sizes(spark.read.parquet(f"{sf_dir}/lineitem.parquet")).select(
+    return file_sizes(spark, f"{sf_dir}/lineitem.parquet").select(
         F.regexp_extract("file_path", "[^/]+$", 0).alias("file_name"), "file_bytes", "file_mb"
     )
 
