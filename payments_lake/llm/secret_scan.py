@@ -40,9 +40,19 @@ RANDOM_ALPHABETS = (
     string.ascii_letters + string.digits + "+/",
     string.ascii_letters + string.digits + "-_",
 )
+# Labelled samples of ordinary identifiers: common words joined in the usual ways, and separators.
+ORDINARY_WORDS = (
+    "get set user name value max min count index file path data base table column row key list map"
+    " open close read write start stop connection pool size buffer string number date time error"
+    " message request response handler service config default version test build result update"
+).split()
+ORDINARY_OTHERS = ("=" * 40, "-" * 40, "_" * 40, "2024-01-31-12-59-30", "1234567890" * 3, "/usr/local/lib/", "+" * 40)
+SAMPLE_WEIGHT = 20
 # A candidate is a secret when random characters explain it this much better (natural logarithm).
-# That outweighs odds of one secret in a million candidates.
+# That outweighs odds of one secret in a million candidates. Long unusual names add up slowly, so
+# the mean over the characters has a bound too.
 MIN_RATIO = 14.0
+MIN_MEAN = 1.2
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -104,7 +114,25 @@ def train(documents: DataFrame) -> np.ndarray:
     seen = np.zeros((2, STATES * STATES))
     for row in totals:
         seen[int(row.is_random), row.pair] = row.n
-    ordinary, random = seen.reshape(2, STATES, STATES)
+    return log_ratios(*seen)
+
+
+def ordinary_samples() -> list[str]:
+    """Identifiers of three words each, in the usual spellings."""
+    out = list(ORDINARY_OTHERS)
+    for i, first in enumerate(ORDINARY_WORDS):
+        words = [first, ORDINARY_WORDS[i * 7 % len(ORDINARY_WORDS)], ORDINARY_WORDS[i * 11 % len(ORDINARY_WORDS)]]
+        capital = "".join(w.capitalize() for w in words)
+        out += [capital, first + capital[len(first) :], "".join(words)]
+        out += [sep.join(words) for sep in ("_", "-", "/")] + ["_".join(words).upper(), f"{capital}{i % 10}"]
+    return out
+
+
+def log_ratios(ordinary: np.ndarray, random: np.ndarray) -> np.ndarray:
+    """Of pair counts, the corpus's and the fixed samples', the matrix of random over ordinary."""
+    samples = [SAMPLE_WEIGHT * pair_counts(text.encode()) for text in ordinary_samples()]
+    ordinary = (np.maximum(ordinary, 0) + sum(samples)).reshape(STATES, STATES)
+    random = random.reshape(STATES, STATES).astype(float)
     for alphabet in RANDOM_ALPHABETS:
         codes = CODES[[ord(c) for c in alphabet]]
         random[np.ix_(codes, codes)] += 200.0 / len(alphabet)
@@ -134,7 +162,7 @@ def all_spans(text: str, ratios: np.ndarray, min_ratio: float = MIN_RATIO) -> li
             possible = False  # one case and no digit: a word, at most a compound
         else:
             possible = not any(s < m.end() and m.start() < e for s, e in fixed)
-        if possible and ratio(value, ratios) >= min_ratio:
+        if possible and ratio(value, ratios) >= max(min_ratio, MIN_MEAN * len(value)):
             spans.append(("random", *m.span()))
     return sorted(spans, key=lambda x: (x[1], KINDS.index(x[0])))
 
