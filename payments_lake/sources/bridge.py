@@ -26,13 +26,16 @@ _PAID = (
 _PENDING = (
     "case when l_linestatus = 'O' and l_quantity < 10 and n_nationkey < 20"
     " then cast(round(l_extendedprice * 10) as bigint) else cast(0 as bigint) end"
+    " * (case when l_quantity = 3 then -1 when l_quantity = 4 then 10000000 else 1 end)"
 )
 _ENCUMBRANCE = (
     "case when l_returnflag = 'N' then null"
-    " else cast(round(l_extendedprice * l_discount * 100) as bigint) end"
+    " else cast(round(l_extendedprice * l_discount * 100) as bigint)"
+    " * (case when l_quantity = 5 then -1 when l_quantity = 6 then 10000000 else 1 end) end"
 )
 _RETAINAGE = (
     "case when l_linenumber = 7 then cast(round(l_extendedprice) as bigint)"
+    " * (case when l_quantity = 8 then -1 when l_quantity = 9 then 100000000 else 1 end)"
     " else cast(0 as bigint) end"
 )
 CENTS = {"paid_c": _PAID, "pend_c": _PENDING, "enc_c": _ENCUMBRANCE, "ret_c": _RETAINAGE}
@@ -86,7 +89,11 @@ EXPRESSIONS = dict(
             "concat(o_orderstatus, '_FUND~OP')",
             "concat(c_mktsegment, ' Fund')",
             f"case when {_NO_CATEGORY} then null else substr(o_orderpriority, 1, 1) end",
-            f"case when {_NO_CATEGORY} then null else substr(o_orderpriority, 3) end",
+            f"case when {_NO_CATEGORY} then null"
+            " when l_linenumber = 3 and l_discount = 0.05 then 'Other'"
+            " when l_linenumber = 3 and l_discount = 0.06 then ' NA '"
+            " when l_linenumber = 3 and l_discount = 0.07 then ' Unknown'"
+            " else substr(o_orderpriority, 3) end",
             "case when l_linenumber = 4 then 'Direct Payments'"
             " when l_linenumber = 3 and l_tax = 0.01 then ' Direct Payments '"
             " else lpad(cast(l_orderkey as string), 10, '0') end",
@@ -99,7 +106,8 @@ EXPRESSIONS = dict(
             _money("ret_c"),
             f"concat({_day('l_shipdate')},"
             " case when l_linestatus = 'F' then ' 02:32:12 PM' else ' 12:05:00 AM' end)",
-            "case when l_linenumber = 1 then '2002/01/02 03:01:24 AM'"
+            "case when l_linenumber = 4 and l_quantity = 14 then '1990/01/01 03:01:24 AM'"
+            " when l_linenumber = 1 then '2002/01/02 03:01:24 AM'"
             " else '2002/01/01 03:01:24 AM' end",
             "case when l_linestatus = 'F' and l_linenumber <= 2 then 'X'"
             " when l_linestatus = 'F' and l_linenumber = 3 then ' x ' else null end",
