@@ -1,7 +1,8 @@
 """Time the pipeline and the headline profiles; print one JSON line.
 
 The driver tables are first written as raw CSV files of the ledger, which is not timed. From
-there on the work is that of a real run: CSV to landed text to silver to marts and reports.
+there on the work is that of a real run: CSV to landed text to silver to marts and reports. On a
+cluster BENCH_ROOT names a new folder on shared storage; the default suits one machine only.
 """
 
 from __future__ import annotations
@@ -52,7 +53,7 @@ def drain(frame: DataFrame) -> None:
 
 def main() -> None:
     spark = session()
-    root = tempfile.mkdtemp(prefix="/tmp/run-")
+    root = os.environ.get("BENCH_ROOT") or tempfile.mkdtemp(prefix="/tmp/run-")
     raw = f"{root}/raw"
     ledger = bridge(spark, SF_DIR).select(*RAW_COLUMNS).repartition(int(CPUS))
     ledger.write.option("header", True).option("escape", '"').csv(raw)

@@ -74,7 +74,6 @@ CRITICAL_FOR_TYPES = [
     PO_DATE,
 ]
 WARNING = [DEPARTMENT, PO_DATE, "Encumbrance Balance"]
-OPTIONAL = [CONTRACT_NUMBER, "Contract Title", "Purchasing Authority Description"]
 DIMENSIONS = [
     "Organization Group",
     "Department",
