@@ -25,22 +25,32 @@ COUNT_FROM = 4
 # Rounds in which groups of similar documents grow around pivots before the matrix is built.
 ROUNDS = 2
 PIVOTS = 2
-# Similar sets share a tenth of the smaller one's tokens, and at least one, within their prefixes.
-LEAD = 10
+# Prefixes are a tenth of the set longer than they must be for one token to be shared, so that the
+# tokens they share tell more.
+EXTRA = 10
+# Sizes within a twentieth are one class.
+CLASS = 1.05
 
 
 def prefix_length(size: int, percent: int = PERCENT) -> int:
-    """Length of a set's prefix in the common order of tokens.
+    """Length of a set's prefix in the common order of tokens. Similar sets have at least
+    ``percent`` of either in common, so they share at least one token within their prefixes."""
+    return size - (percent * size + 99) // 100 + max(1, size // EXTRA)
 
-    Similar sets have at least ``percent`` of either in common. The k-th token they share comes
-    before all but so many of its tokens, so prefixes that are longer by k share at least k.
-    """
-    return size - (percent * size + 99) // 100 + max(1, size // LEAD)
+
+def rest(size: Column, percent: int = PERCENT) -> Column:
+    """Tokens of a set after its prefix."""
+    return F.ceil(percent * size / 100) - F.greatest(F.lit(1), F.floor(size / EXTRA))
 
 
-def lead(size: Column) -> Column:
-    """Tokens that prefixes share when the smaller set has this size."""
-    return F.greatest(F.lit(1).cast("long"), F.floor(size / LEAD))
+def asked(size: Column, other: Column, rests: Column, percent: int = PERCENT) -> Column:
+    """Tokens that the prefixes of two similar sets of these sizes share at least.
+
+    Similar sets overlap in ``percent / (100 + percent)`` of their sizes' sum. Of the two prefixes
+    let one end first in the common order: all shared tokens up to there are in both prefixes, and
+    after it come no more than its set's ``rests``.
+    """
+    return F.ceil(percent * (size + other) / (100 + percent)) - rests
 
 
 def _set_id(tokens: np.ndarray) -> int:
@@ -130,9 +140,15 @@ def shingle_sets(texts: DataFrame, common: np.ndarray, percent: int = PERCENT) -
 
 
 def shared_places(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(token, set_id, size) of the prefix tokens that two different sets have, without sets that
-    share too few tokens in all to be similar to any other."""
+    """(token, set_id, size, centre) of the prefix tokens that two different sets have, for sets
+    that may be similar to another; ``centre`` is the share of the prefix that is left.
+
+    This is a first token-group matrix, with groups of sets of about the same size: its rows at a
+    set's tokens add up to an overlap that bounds that with any other set of the size. A set for
+    which all sizes stay closed is left out. Rows are at most the places times a few sizes.
+    """
     token = Window.partitionBy("token")
+    size = F.col("size")
     shared = written(
         sets.filter("prefix is not null")
         .select(F.explode("prefix").alias("token"), "set_id", "size")
@@ -140,32 +156,50 @@ def shared_places(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
         .withColumn("most", F.max("set_id").over(token))
         .filter("least <> most")
         .select("token", "set_id", "size")
-        .distinct(),
+        .distinct()
+        .withColumn("class", F.floor(F.log(size) / F.log(F.lit(CLASS)))),
         "shared",
     )
-    smallest = F.ceil(percent * F.col("size") / 100)
-    live = shared.groupBy("set_id", "size").agg(F.count("*").alias("n")).filter(F.col("n") >= lead(smallest))
-    return written(shared.join(live.select("set_id"), "set_id", "left_semi"), "places")
+    matrix = shared.groupBy("token", F.col("class").alias("met")).agg(
+        F.count("*").alias("members"), F.min("size").alias("smallest"), F.max("size").alias("largest"),
+        F.max(rest(size, percent)).alias("rests"),
+    )
+    least_size = F.greatest(F.col("smallest"), F.ceil(percent * size / 100))
+    open_sizes = (
+        shared.join(matrix, "token")
+        .filter((F.col("members") > 1) | (F.col("class") != F.col("met")))
+        .filter((100 * F.col("largest") >= percent * size) & (percent * F.col("smallest") <= 100 * size))
+        .groupBy("set_id", "size", "met")
+        .agg(F.count("*").alias("overlap"), F.min("smallest").alias("smallest"), F.max("rests").alias("rests"))
+        .filter(F.col("overlap") >= asked(size, least_size, F.greatest(rest(size, percent), "rests"), percent))
+    )
+    kept = written(shared.drop("class").join(open_sizes.select("set_id").distinct(), "set_id"), "open")
+    prefix = size - rest(size, percent)
+    centres = kept.groupBy("set_id", "size").agg((F.count("*") / F.first(prefix)).alias("centre"))
+    return written(kept.join(centres.drop("size"), "set_id"), "places")
 
 
-def pivot_pairs(places: DataFrame, seed: int) -> DataFrame:
+def pivot_pairs(places: DataFrame, step: int, percent: int = PERCENT) -> DataFrame:
     """Pairs (a, b) of each set with its tokens' pivots, where they are in different groups.
 
-    A pivot is a set drawn by hash from all that have the token; tokens share ``PIVOTS`` ways to
-    draw, so large groups have few pivots and pairs grow with the sets, not with their square.
-    Pairs that meet at few tokens are left to the matrix.
+    A pivot is one of the sets that have the token: first that with the most of its prefix in
+    common with others, as the text that others were copied from has, then one drawn by hash.
+    Tokens share ``PIVOTS`` ways to draw, so large groups have few pivots and pairs grow with the
+    sets, not with their square. Pairs that meet at few tokens are left to the matrix.
     """
+    key = F.xxhash64("set_id", F.pmod("token", F.lit(PIVOTS)), F.lit(step))
     drawn = F.struct(
-        F.xxhash64("set_id", F.pmod("token", F.lit(PIVOTS)), F.lit(seed)).alias("key"),
+        (-F.col("centre") if step == 0 else F.lit(0.0)).alias("order"), key.alias("key"),
         F.col("set_id").alias("pivot"), F.col("size").alias("size"), F.col("group").alias("group"),
     )
-    pivot = F.min(drawn).over(Window.partitionBy("token"))
+    size, other = F.col("size"), F.col("drawn.size")
+    least = asked(size, other, F.greatest(rest(size, percent), rest(other, percent)), percent)
     return (
-        places.withColumn("drawn", pivot)
+        places.withColumn("drawn", F.min(drawn).over(Window.partitionBy("token")))
         .filter("drawn.group <> group")
         .groupBy(F.col("drawn.pivot").alias("a"), F.col("set_id").alias("b"))
-        .agg(F.count("*").alias("n"), F.min(F.least("drawn.size", "size")).alias("smaller"))
-        .filter(2 * PIVOTS * F.col("n") >= lead(F.col("smaller")))
+        .agg(F.count("*").alias("n"), F.min(least).alias("asked"))
+        .filter(2 * PIVOTS * F.col("n") >= F.col("asked"))
         .select("a", "b")
     )
 
@@ -181,28 +215,33 @@ def matrix_pairs(places: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     size = F.col("size")
     matrix = places.groupBy("token", F.col("group").alias("met")).agg(
-        F.min("size").alias("smallest"), F.max("size").alias("largest")
+        F.min("size").alias("smallest"), F.max("size").alias("largest"), F.max(rest(size, percent)).alias("rests")
     )
     least_size = F.greatest(F.col("smallest"), F.ceil(percent * size / 100))
     qualifying = (
         places.join(matrix, "token")
         .filter(F.col("group") > F.col("met"))
         .groupBy("set_id", "size", "met")
-        .agg(F.count("*").alias("overlap"), F.min("smallest").alias("smallest"), F.max("largest").alias("largest"))
+        .agg(
+            F.count("*").alias("overlap"), F.min("smallest").alias("smallest"),
+            F.max("largest").alias("largest"), F.max("rests").alias("rests"),
+        )
         .filter((100 * F.col("largest") >= percent * size) & (percent * F.col("smallest") <= 100 * size))
-        .filter(F.col("overlap") >= lead(F.least(size, least_size)))
+        .filter(F.col("overlap") >= asked(size, least_size, F.greatest(rest(size, percent), "rests"), percent))
         .select("set_id", "met")
     )
     queries = places.join(qualifying, "set_id").select(
         "token", "met", F.col("set_id").alias("a"), size.alias("a_size")
     )
     members = places.select("token", F.col("group").alias("met"), F.col("set_id").alias("b"), "size")
+    a_size = F.col("a_size")
+    least = asked(size, a_size, F.greatest(rest(size, percent), rest(a_size, percent)), percent)
     return (
         queries.join(members, ["token", "met"])
-        .filter((100 * F.col("a_size") >= percent * size) & (percent * F.col("a_size") <= 100 * size))
-        .groupBy("a", "b", F.least("a_size", "size").alias("smaller"))
-        .agg(F.count("*").alias("n"))
-        .filter(F.col("n") >= lead(F.col("smaller")))
+        .filter((100 * a_size >= percent * size) & (percent * a_size <= 100 * size))
+        .groupBy("a", "b")
+        .agg(F.count("*").alias("n"), F.min(least).alias("asked"))
+        .filter(F.col("n") >= F.col("asked"))
         .select("a", "b")
     )
 
@@ -265,7 +304,7 @@ def linked_components(documents: DataFrame, percent: int = PERCENT) -> DataFrame
             .filter("least <> most").drop("least", "most")
         )
         places = written(open_places, "places")
-        pairs = pivot_pairs(places, step) if step < ROUNDS else matrix_pairs(places, percent)
+        pairs = pivot_pairs(places, step, percent) if step < ROUNDS else matrix_pairs(places, percent)
         links = written(verified(written(pairs, "pairs"), live_texts, percent), "links")
         places = places.drop("group")
         if links.isEmpty():
