@@ -119,6 +119,10 @@ def find_lexicons(texts: list[str], labels: list[int]) -> Voters:
     return voters
 
 
+# Rates of the votes among clean and toxic texts before any label is seen; they weigh two rows.
+BELIEF = np.array([[0.01] * 7 + [0.05] * 3, [0.5] * 7 + [0.05] * 3])
+
+
 class LabelModel:
     """A latent-class model of the votes, fitted to the counts of all vote patterns.
 
@@ -130,7 +134,7 @@ class LabelModel:
 
     def __init__(self, patterns: np.ndarray, counts: np.ndarray, known: np.ndarray, labels: np.ndarray) -> None:
         votes = _bits(patterns)
-        prior = np.array([[1.0 + _bits(known[labels == y]).sum(axis=0)[j] for j in range(len(VOTERS))] for y in (0, 1)])
+        prior = np.array([2 * BELIEF[y] + _bits(known[labels == y]).sum(axis=0) for y in (0, 1)])
         sizes = np.array([2.0 + (labels == y).sum() for y in (0, 1)])
         self.rates, self.share = prior / sizes[:, None], 0.1
         self.weights = np.ones(len(VOTERS))
