@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from payments_lake.llm.common import text_or_empty
+from payments_lake.llm.common import most_frequent, text_or_empty
 from payments_lake.llm.shingles import WORDS
 
 # Words of the shared vocabulary; all others are one unknown word. The most frequent ones are
@@ -29,7 +29,8 @@ def word_hashes(text: bytes) -> np.ndarray:
 
 
 def vocabulary(texts: DataFrame, size: int = VOCABULARY) -> np.ndarray:
-    """Hashes of the ``size - 1`` most frequent words over all texts, most frequent first.
+    """Hashes of the most frequent words over all texts, most frequent first, at most ``size - 1``;
+    words of one frequency are all in or all out.
 
     Every word of every text is counted: tasks count stretches, the sums are shuffled by word.
     """
@@ -54,11 +55,8 @@ def vocabulary(texts: DataFrame, size: int = VOCABULARY) -> np.ndarray:
         if total:
             yield counted()
 
-    rows = (
-        texts.select("text").mapInArrow(count, "word bigint, n bigint")
-        .groupBy("word").agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "word").limit(size - 1).select("word").collect()
-    )
+    counts = texts.select("text").mapInArrow(count, "word bigint, n bigint")
+    rows = most_frequent(counts.groupBy("word").agg(F.sum("n").alias("n")), size - 1)
     return np.array([r.word for r in rows], np.int64).view(np.uint64)
 
 
@@ -119,7 +117,7 @@ def model_counts(texts: DataFrame, lexicon: Lexicon) -> tuple[np.ndarray, np.nda
     schema = "is_target boolean, block int, counts binary"
     blocks = texts.mapInArrow(count, schema).groupBy("is_target", "block").applyInPandas(add, schema)
     totals = np.zeros((2, (classes + word_rows) * classes), np.int64)
-    for row in blocks.toLocalIterator():
+    for row in blocks.collect():
         at = row.block * classes
         totals[int(row.is_target), at : at + classes] = np.frombuffer(row.counts, np.int64)
     cells = classes * classes

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from payments_lake.llm.common import text_or_empty, written
+from payments_lake.llm.common import most_frequent, text_or_empty, written
 from payments_lake.llm.components import components
 from payments_lake.llm.shingles import shingle_set
 
@@ -93,11 +93,11 @@ def common_tokens(texts: DataFrame, most: int = MOST_COMMON) -> np.ndarray:
         if held:
             yield counted()
 
-    rows = (
+    counts = (
         texts.select("text").mapInArrow(count, "token bigint, n bigint")
         .groupBy("token").agg(F.sum("n").alias("n")).filter(F.col("n") >= COMMON_FROM)
-        .orderBy(F.desc("n"), "token").limit(most).select("token").collect()
     )
+    rows = most_frequent(counts, most)
     return np.sort(np.array([r.token for r in rows], np.int64).view(np.uint64))
 
 
