@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import string
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -21,6 +22,7 @@ SAMPLE_PER_CLASS = 6_000
 # A word or word beginning joins a lexicon when so strong a tie to the label is this unlikely.
 MAX_CHANCE = 1e-6
 MOST_FEATURES = 4_000
+MOST_CACHED = 400_000
 THRESHOLD = 0.7
 PREFIXES = (4, 5, 6)
 
@@ -31,7 +33,6 @@ SEED_WORDS = frozenset(
 )
 WORD = re.compile(r"[^\W\d_]+")
 MASKED = re.compile(r"[^\W\d_][*#@$]{2,}[^\W\d_]?")
-SHOUTED = re.compile(r"!{2,}")
 BANDS = ("sure", "strong", "likely")
 VOTERS = (
     "seed", *(f"words_{band}" for band in BANDS), *(f"starts_{band}" for band in BANDS),
@@ -54,27 +55,43 @@ class Voters:
     lexicon: dict[str, int] = field(default_factory=dict)  # feature: the bits of its voters
     number: dict[str, int] = field(default_factory=dict)  # feature: its place in the classifier
 
+    known: dict[str, tuple[int, tuple[int, ...]]] = field(default_factory=dict)  # by word as written
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"known": {}}  # each worker fills its own
+
+    def _look_up(self, word: str) -> tuple[int, tuple[int, ...]]:
+        """The votes of a word and the features it has, from a cache of bounded size."""
+        w = word.lower()
+        found = [f for f in (w, *("~" + w[:n] for n in PREFIXES if len(w) > n)) if f in self.lexicon]
+        bits = 0
+        for f in found:
+            bits |= self.lexicon[f]
+        if len(self.known) >= MOST_CACHED:
+            self.known.clear()
+        entry = self.known[word] = (bits, tuple(self.number[f] for f in found))
+        return entry
+
     def read(self, text: str) -> tuple[int, list[int]]:
         """The votes as bits, and the features that the classifier knows."""
-        bits, known = 0, []
-        for w in {w.lower() for w in WORD.findall(text)}:
-            if w in self.lexicon:
-                bits |= self.lexicon[w]
-                known.append(self.number[w])
-            for n in PREFIXES:
-                if len(w) > n and (p := "~" + w[:n]) in self.lexicon:
-                    bits |= self.lexicon[p]
-                    known.append(self.number[p])
-        bits |= (MASKED.search(text) is not None) << VOTERS.index("masked")
-        bits |= (SHOUTED.search(text) is not None) << VOTERS.index("shouted")
-        letters = len(text) - len(text.translate(ASCII_LETTERS))
-        capitals = len(text) - len(text.translate(ASCII_CAPITALS))
+        bits, known = 0, set()
+        for word in set(WORD.findall(text)):
+            votes, numbers = self.known.get(word) or self._look_up(word)
+            if votes:
+                bits |= votes
+                known.update(numbers)
+        masked = any(c in text for c in "*#@$") and MASKED.search(text) is not None
+        written = text.encode()
+        letters = len(written) - len(written.translate(None, LETTERS))
+        capitals = len(written) - len(written.translate(None, CAPITALS))
+        bits |= masked << VOTERS.index("masked")
+        bits |= ("!!" in text) << VOTERS.index("shouted")
         bits |= (2 * capitals > letters > 0) << VOTERS.index("capitals")
-        return bits, sorted(set(known))
+        return bits, sorted(known)
 
 
-ASCII_CAPITALS = {c: None for c in range(65, 91)}
-ASCII_LETTERS = ASCII_CAPITALS | {c: None for c in range(97, 123)}
+CAPITALS = string.ascii_uppercase.encode()
+LETTERS = string.ascii_letters.encode()
 
 
 def chance(a: int, n: int, p: float) -> float:
