@@ -11,14 +11,12 @@ from pyspark.sql import functions as F
 
 from payments_lake.llm.common import most_frequent, text_or_empty
 from payments_lake.llm.shingles import WORDS
+from payments_lake.llm.whole_model import BIGRAM_PRIOR, BIGRAM_SHARE, WORD_PRIOR, whole_difference
 
-# Words of the shared vocabulary; all others are one unknown word. The most frequent ones are
-# classes of their own in the bigram model, the rest share a class. Both bound the models' size.
+# The bounded model, which no query uses: words of the shared vocabulary; all others are one unknown
+# word. The most frequent ones are classes of their own in the bigram model, the rest share a class.
 VOCABULARY = 65_536
 CLASSES = 1_024
-BIGRAM_SHARE = 0.6
-BIGRAM_PRIOR = 50.0
-WORD_PRIOR = 0.5
 STRETCH = 2_000_000  # words counted at once in a task
 
 
@@ -167,18 +165,23 @@ def _repeats(values: np.ndarray) -> np.ndarray:
 
 
 def cross_entropy_difference(
-    documents: DataFrame, target: DataFrame, size: int = VOCABULARY, classes: int = CLASSES
+    documents: DataFrame, target: DataFrame, size: int | None = None, classes: int | None = None
 ) -> DataFrame:
     """Per row: doc_id, n_words, target_loss, background_loss and score, their difference.
 
     ``target`` (text) is the domain wanted, the documents are the background. Losses are in nats
     per word; a negative score says that a document is more like the target. Both models count
-    whole texts of whole tables over one vocabulary of fixed size.
+    every word and word pair of whole texts of whole tables, over all words of both tables; a
+    document's own counts are taken out of the background. With ``size`` or ``classes`` they are
+    class models of that fixed size, sent with the tasks.
 
     Null and empty texts have zero words, losses and score; repeated rows count and are scored
     each; with an empty target its model is uniform; an empty table gives no rows; other columns
-    are ignored. Models are sent with the tasks; their size is fixed by ``size`` and ``classes``.
+    are ignored.
     """
+    if size is None and classes is None:
+        return whole_difference(documents, target)
+    size, classes = size or VOCABULARY, classes or CLASSES
     wanted = text_or_empty("text").cast("binary").alias("text")
     texts = documents.select(wanted, F.lit(False).alias("is_target")).unionAll(
         target.select(wanted, F.lit(True).alias("is_target"))

@@ -2,8 +2,11 @@
 
 import base64
 import hashlib
+import math
 import random
+import re
 import zlib
+from collections import Counter
 
 import corpus_pipeline
 import numpy as np
@@ -11,7 +14,7 @@ import pytest
 from llm_frames import AWKWARD, LONG, documents
 from pyspark.sql import functions as F
 
-from payments_lake.llm import cross_entropy, toxicity, warc
+from payments_lake.llm import cross_entropy, toxicity, warc, whole_model
 from payments_lake.llm.common import shared_folder, written
 from payments_lake.llm.components import components
 from payments_lake.llm.decontamination import contained_items, decontaminated
@@ -183,6 +186,68 @@ def test_model_counts_cover_all_words(spark):
     assert words[0].tolist() == [1, 2, 2]  # unknown, a, b
 
 
+def brute_difference(texts, target):
+    """Every word and pair counted in plain Python; the background is all other documents."""
+    def grams(text):
+        words = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
+        return words, list(zip([None, *words], words))
+
+    def model(texts, scale):
+        words, pairs, befores = Counter(), Counter(), Counter()
+        for own, joined in map(grams, texts):
+            words.update(own)
+            pairs.update(joined)
+            befores.update(a for a, _ in joined)
+        total = sum(words.values()) * scale
+
+        def loss(text):
+            logs = []
+            for a, b in grams(text)[1]:
+                p_word = (words[b] * scale + 0.5) / (total + 0.5 * size)
+                p_pair = (pairs[a, b] * scale + 50 * p_word) / (befores[a] * scale + 50)
+                logs.append(-math.log(0.6 * p_pair + 0.4 * p_word))
+            return sum(logs) / max(len(logs), 1)
+
+        return loss
+
+    size = len({w for t in [*texts, *target] for w in grams(t)[0]})
+    sums = [max(sum(len(grams(t)[0]) for t in table), 1) for table in (texts, target)]
+    wanted = model(target, 1.0)
+    for i, text in enumerate(texts):
+        yield len(grams(text)[0]), wanted(text), model(texts[:i] + texts[i + 1 :], sums[1] / sums[0])(text)
+
+
+@pytest.mark.parametrize("parts, stretch", [(None, None), (7, 60), (1, 1)])
+def test_whole_cross_entropy_equals_brute_force(spark, parts, stretch):
+    """More words than the bounded model keeps in classes: rare pairs count like all others."""
+    draw = random.Random(11)
+    rare = [f"R{draw.randrange(3000)}" for _ in range(4000)]
+    texts = [*AWKWARD, "a b a c", "c c c d", " x\x0by z\x1c ", "x y", *(" ".join(rare[i : i + 80]) for i in range(0, 4000, 80))]
+    target = ["a b a b", None, "b a", " ".join(rare[40:700]), "", LONG]
+    frame = spark.createDataFrame([(t,) for t in target], "text string")
+    if parts is None:
+        found = cross_entropy.cross_entropy_difference(documents(spark, texts), frame)
+    else:
+        found = whole_model.whole_difference(documents(spark, texts), frame, parts, stretch)
+    out = {r.doc_id: r for r in found.collect()}
+    assert len(out) == len(texts)
+    for i, (n, wanted, background) in enumerate(brute_difference(texts, target)):
+        assert out[i].n_words == n
+        assert out[i].target_loss == pytest.approx(wanted, rel=1e-9)
+        assert out[i].background_loss == pytest.approx(background, rel=1e-9)
+        assert out[i].score == pytest.approx(wanted - background, rel=1e-6, abs=1e-9)
+
+
+def test_whole_cross_entropy_of_empty_tables(spark):
+    target = spark.createDataFrame([("a b",)], "text string")
+    assert cross_entropy.cross_entropy_difference(documents(spark, []), target.filter("false")).count() == 0
+    texts = ["a b", None, "a"]
+    for wanted, rows in (([], target.filter("false")), (["a b"], target)):
+        out = {r.doc_id: r for r in cross_entropy.cross_entropy_difference(documents(spark, texts), rows).collect()}
+        for i, (_, loss, background) in enumerate(brute_difference(texts, wanted)):
+            assert (out[i].target_loss, out[i].background_loss) == pytest.approx((loss, background), rel=1e-9)
+
+
 def test_toxicity_on_held_out_rows(spark):
     draw = random.Random(8)
     bad = ["idiot", "blorxen", "blorxing", "zagnuk"]
