@@ -24,6 +24,7 @@ MAX_REPEATED = 50  # per cent of the words
 # before any label is seen, so the number of tests is known.
 RATIOS = ("symbol_ratio", "dup_line_ratio", "repeat_ratio", "mark_ratio", "upper_ratio")
 CUTOFFS = tuple(round(0.02 * step, 2) for step in range(1, 50))
+ORDERED = "ordered"  # the sequence that goes through all rules
 
 
 @dataclass(frozen=True)
@@ -31,7 +32,7 @@ class Certificate:
     """What a set of cutoffs guarantees.
 
     ``false_rejection``: the largest share of good documents that all rules together may reject in
-    a stratum. ``error``: the probability that any chosen cutoff breaks its share of that bound.
+    a stratum. ``error``: the probability that the chosen cutoffs of any stratum break that bound.
     """
 
     false_rejection: float = 0.02
@@ -142,11 +143,16 @@ def certified_cutoffs(
 
     ``measured`` has the output of :func:`signals`, ``labels`` the columns doc_id and quality.
     Good documents are those labelled 1 and never 0; those that fail the base rules don't count.
-    For each stratum and rule the cutoffs are tested from the most lenient downwards; a test
-    passes when, were the share of good documents above the cutoff larger than allowed, so few
-    would be seen with a small probability only (exact binomial tail). The order is fixed and the
-    tail grows as cutoffs fall, so each sequence keeps its level, and the levels of all strata and
-    rules add up to ``certificate.error``. The labels are cut to one row per document before the
+    Cutoffs are tested from the most lenient downwards; a test passes when, were the share of good
+    documents rejected larger than allowed, so few would be seen with a small probability only
+    (exact binomial tail). The order is fixed and the tail grows as cutoffs fall, so each sequence
+    keeps its level, and the levels of all sequences add up to ``certificate.error``.
+
+    The number of good documents decides how a stratum spends the bound. Where it could certify
+    every rule by a share of the bound of its own, each rule has its own sequence. Elsewhere there
+    is one sequence through the rules in the order of ``RATIOS``: each step tests what all cutoffs
+    so far reject together, against the whole bound; the first that fails ends it, and the rules
+    after it are unused. The labels are cut to one row per document before the
     join, so repeated label rows change nothing; null ids and null qualities are left out.
     """
     good = (
@@ -161,32 +167,56 @@ def certified_cutoffs(
     held = measured.filter(~base_failed()).select(
         "doc_id", F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), ratios.alias("ratios")
     )
+    ordered = F.struct(F.lit(ORDERED).alias("rule"), _steps_below(F.col("ratios")).alias("below"))
     counts = (
         held.join(good, "doc_id", "left_semi")
-        .select("stratum", F.inline("ratios"))
+        .select("stratum", F.inline(F.concat("ratios", F.array(ordered))))
         .groupBy("stratum", "rule", "below")
         .count()
     )
     counts = written(counts, "cutoff_counts")
-    sequences = counts.select("stratum", "rule").distinct().count()
+    strata = counts.select("stratum").distinct().count()
+    steps = F.when(F.col("rule") == ORDERED, len(RATIOS) * len(CUTOFFS)).otherwise(len(CUTOFFS))
     tested = (
-        counts.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(len(CUTOFFS) - 1))))
+        counts.withColumn("step", F.explode(F.sequence(F.lit(0), steps - 1)))
         .groupBy("stratum", "rule", "step")
         .agg(
             F.sum("count").alias("n"),
             F.sum(F.when(F.col("below") > F.col("step"), F.col("count")).otherwise(0)).alias("k"),
         )
     )
-    allowed = certificate.false_rejection / len(RATIOS)
-    level = certificate.error / max(sequences, 1)
-    passed = tested.filter(_log_tail(F.col("n"), F.col("k"), allowed) <= math.log(level))
+    n, k, whole = F.col("n"), F.col("k"), certificate.false_rejection
+    level = certificate.error / max(strata, 1)
+    share, share_level = whole / len(RATIOS), math.log(level / len(RATIOS))
+    many = n * math.log1p(-share) <= share_level
+    passed = tested.filter(
+        F.when(F.col("rule") == ORDERED, ~many & (_log_tail(n, k, whole) <= math.log(level)))
+        .otherwise(many & (_log_tail(n, k, share) <= share_level))
+    )
     cutoffs = F.array(*map(F.lit, CUTOFFS))
+    lowest = {rule: F.min(F.when(F.col("rule") == rule, F.col("step"))) for rule in (*RATIOS, ORDERED)}
     return passed.groupBy("stratum").agg(*[
-        F.get(cutoffs, F.min(F.when(F.col("rule") == rule, F.col("step"))).cast("int")).alias(f"{rule}_cutoff")
-        for rule in RATIOS
+        F.get(cutoffs, F.coalesce(lowest[rule], _own_step(lowest[ORDERED], i)).cast("int")).alias(f"{rule}_cutoff")
+        for i, rule in enumerate(RATIOS)
     ])
 
 
+def _steps_below(ratios: Column) -> Column:
+    """How many steps of the sequence through all rules reject a document. The steps are numbered
+    from its end: the last rule's lowest cutoff is 0, the first rule's highest the last number."""
+    n = len(CUTOFFS)
+    return F.array_max(F.transform(
+        ratios, lambda x, i: F.when(x["below"] > 0, n * (len(RATIOS) - 1 - i) + x["below"]).otherwise(0)
+    ))
+
+
+def _own_step(step: Column, i: int) -> Column:
+    """The cutoff that rule ``i`` has at a step of the sequence through all rules."""
+    n = len(CUTOFFS)
+    reached = len(RATIOS) - 1 - F.floor(step / n)
+    return F.when(F.lit(i) < reached, 0).when(F.lit(i) == reached, step % n)
+
+
 def _cutoffs_below(ratio: Column) -> Column:
     return F.size(F.filter(F.array(*map(F.lit, CUTOFFS)), lambda cutoff: ratio > cutoff))
 

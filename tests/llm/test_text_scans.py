@@ -232,3 +232,28 @@ def test_cutoffs_reject_few_good_documents(spark):
     assert rules.keep_good(frame, empty).count() == 1550
     assert rules.quality_rules(documents(spark, AWKWARD), empty).filter("kept").count() == 0
     assert rules.quality_rules(documents(spark, []), empty).count() == 0
+
+
+def test_rare_languages_get_cutoffs(spark):
+    """A few hundred good documents certify the rules in order; the first that fails ends them."""
+    def text(i, j, mark, end=" "):
+        return " ".join(f"w{i}x{k}{mark if k % j == 0 else ''}" for k in range(60)) + end
+
+    good = [text(i, 1, "") + ("\nsame\nsame\nsame" if i % 10 == 0 else "") for i in range(321)]
+    bad = [text(i, 3, "*") for i in range(30)]
+    shouted = [text(i, 1, "!!!!") for i in range(20)]
+    frame = documents(spark, good + bad + shouted)
+    few = documents(spark, bad)
+    labels = spark.createDataFrame([(i, int(i < 321)) for i in range(371)], "doc_id bigint, quality int")
+    measured = rules.signals(frame)
+    cutoffs = rules.certified_cutoffs(measured, labels).first()
+    assert cutoffs.symbol_ratio_cutoff == 0.02 and cutoffs.mark_ratio_cutoff is None
+    rejected = [r.doc_id for r in rules.quality_rules(frame, labels).filter("not kept and not base_failed").collect()]
+    assert set(rejected) >= set(range(321, 351)) and sum(i < 321 for i in rejected) <= 0.02 * 321
+    assert cutoffs.dup_line_ratio_cutoff == 0.5
+    # Where all rules hold back, all are used; below the number that certifies anything, none is.
+    plain = documents(spark, [text(i, 1, "") for i in range(321)] + shouted)
+    marks = rules.certified_cutoffs(rules.signals(plain), labels.filter("doc_id < 321")).first()
+    assert [marks[f"{r}_cutoff"] for r in rules.RATIOS] == [0.02] * 5
+    assert rules.certified_cutoffs(measured, labels.filter("doc_id < 100")).count() == 0
+    assert rules.quality_rules(few, labels.filter("doc_id < 100")).filter("kept").count() == 30
