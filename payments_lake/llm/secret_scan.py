@@ -152,21 +152,28 @@ def ratio(value: str, ratios: np.ndarray) -> float:
 
 
 def all_spans(text: str, ratios: np.ndarray, min_ratio: float = MIN_RATIO) -> list[tuple[str, int, int]]:
-    """Fixed spans and those of the models, by start, then kind. A run that a fixed span overlaps
-    is not reported again."""
+    """Fixed spans and those of the models, by start, then kind. Every run is scored, letters of one
+    case too; of a run that fixed spans overlap, what they leave on each side is scored by itself."""
     spans = base_spans(text)
-    fixed = [(start, end) for _, start, end in spans]
+    fixed = sorted((start, end) for _, start, end in spans)
     for m in CANDIDATE.finditer(text):
-        value = m[0]
-        if value.isalpha() and (value.islower() or value[1:].islower()):
-            possible = False  # one case and no digit: a word, at most a compound
-        else:
-            possible = not any(s < m.end() and m.start() < e for s, e in fixed)
-        if possible and ratio(value, ratios) >= max(min_ratio, MIN_MEAN * len(value)):
-            spans.append(("random", *m.span()))
+        for start, end in _left(*m.span(), fixed):
+            if ratio(text[start:end], ratios) >= max(min_ratio, MIN_MEAN * (end - start)):
+                spans.append(("random", start, end))
     return sorted(spans, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
+def _left(start: int, end: int, fixed: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What is left of a run between the fixed spans, which are sorted."""
+    out = []
+    for a, b in fixed:
+        if a < end and start < b:
+            if start < a:
+                out.append((start, a))
+            start = b
+    return [*out, (start, end)] if start < end else out
+
+
 def joined(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
 
