@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from payments_lake.llm.centroid_clusters import clustered
 from payments_lake.llm.common import table, with_package
 from payments_lake.llm.cross_entropy import cross_entropy_difference
 from payments_lake.llm.decontamination import contained_items
@@ -14,6 +15,7 @@ from payments_lake.llm.jaccard_join import linked_components
 from payments_lake.llm.license_scan import scanned
 from payments_lake.llm.oracle import ORACLE
 from payments_lake.llm.packing import pack
+from payments_lake.llm.product_codes import product_codes
 from payments_lake.llm.quality_rules import quality_rules
 from payments_lake.llm.secret_scan import scan
 from payments_lake.llm.token_counts import token_counts
@@ -74,6 +76,16 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight clusters of the 64-component embeddings after ten rounds."""
+    return clustered(table(spark, sf_dir, "embeddings"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four-byte codes of the embeddings after four rounds."""
+    return product_codes(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {name: with_package(query) for name, query in {
     "op1_warc_chunks": op1_warc_chunks,
     "op2_license_scan": op2_license_scan,
@@ -85,4 +97,6 @@ QUERIES: dict[str, Query] = {name: with_package(query) for name, query in {
     "op8_secret_scan": op8_secret_scan,
     "op9_cross_entropy": op9_cross_entropy,
     "op10_decontamination": op10_decontamination,
+    "op11_centroid_clusters": op11_centroid_clusters,
+    "op13_vector_codes": op13_vector_codes,
 }.items()}
