@@ -72,9 +72,9 @@ where 100 * n_shared >= 75 * n
 _VECTORS = """
 kept as materialized (
     select row_number() over (order by vec_id, embedding) as r, vec_id, label, embedding as e from embeddings
-    where len(embedding) {length} and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+    where len(embedding) {length} and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), parts as materialized (
-    select r, cast(unnest(list_transform(e, x -> floor(1024 * x::double))) as bigint) as x,
+    select r, cast(unnest(list_transform(e, lambda x: floor(1024 * x::double))) as bigint) as x,
         unnest(range(0, len(e))) as i
     from kept
 )
