@@ -21,6 +21,7 @@ from payments_lake.llm.secret_scan import scan
 from payments_lake.llm.token_counts import token_counts
 from payments_lake.llm.toxicity import toxicity
 from payments_lake.llm.warc import archived_pages
+from payments_lake.llm.wrapper_induction import main_texts
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -81,6 +82,11 @@ def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustered(table(spark, sf_dir, "embeddings"))
 
 
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of each page."""
+    return main_texts(table(spark, sf_dir, "pages"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four-byte codes of the embeddings after four rounds."""
     return product_codes(table(spark, sf_dir, "embeddings"))
@@ -98,5 +104,6 @@ QUERIES: dict[str, Query] = {name: with_package(query) for name, query in {
     "op9_cross_entropy": op9_cross_entropy,
     "op10_decontamination": op10_decontamination,
     "op11_centroid_clusters": op11_centroid_clusters,
+    "op12_html_extraction": op12_html_extraction,
     "op13_vector_codes": op13_vector_codes,
 }.items()}
