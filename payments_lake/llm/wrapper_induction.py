@@ -333,29 +333,33 @@ def wrappers(pages: DataFrame, share: float = SHARE, least_pages: int = LEAST_PA
             columns = (batch.column(c).to_pylist() for c in ("host", "page", "shape", "template", "slots"))
             for host, page, shape, template, slots in zip(*columns, strict=True):
                 on = aligned[shape, template]
-                for one in slots:
-                    if on[one["slot"]] >= 0:
-                        hosts.append(host)
-                        pages_.append(page)
-                        places.append(on[one["slot"]])
-                        digests.append(one["digest"])
+                found = {(on[one["slot"]], one["digest"]) for one in slots if on[one["slot"]] >= 0}
+                # A line without a digest says that the page has the place.
+                found |= {(place, None) for place, _ in found}
+                hosts += [host] * len(found)
+                pages_ += [page] * len(found)
+                places += [place for place, _ in found]
+                digests += [text for _, text in found]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(hosts, pa.string()), pa.array(pages_, pa.int64()), pa.array(places, pa.int32()), pa.array(digests, pa.int64())],
                 ["host", "page", "place", "digest"],
             )
 
     salt = F.pmod(F.xxhash64("page", "shape"), F.lit(SALTS)).cast("int")
-    shown = written(
+    shown = (
         outlined.withColumn("salt", salt).join(salted(templates), ["host", "salt"])
         .select("host", "page", "shape", "template", "slots")
-        .mapInArrow(place, "host string, page bigint, place int, digest bigint"),
-        "shown",
+        .mapInArrow(place, "host string, page bigint, place int, digest bigint")
     )
-    having = shown.select("host", "place", "page").distinct().groupBy("host", "place").agg(F.count("*").alias("pages"))
-    texts = shown.distinct().groupBy("host", "place", "digest").agg(F.count("*").alias("n")).filter(F.col("n") >= least_pages)
-    constant = texts.join(having, ["host", "place"]).filter(F.col("n") >= share * F.col("pages"))
+    counts = written(
+        shown.distinct().groupBy("host", "place", "digest").agg(F.count("*").alias("n"))
+        .filter(F.col("n") >= least_pages),
+        "counts",
+    )
+    having = counts.filter("digest is null").select("host", "place", F.col("n").alias("pages"))
+    constant = counts.filter("digest is not null").join(having, ["host", "place"]).filter(F.col("n") >= share * F.col("pages"))
     listed = constant.groupBy("host").agg(F.collect_list(F.struct("place", "digest")).alias("constants"))
-    return templates.join(listed, "host")
+    return written(templates.join(listed, "host"), "wrappers")
 
 
 def content(root: Node, skip: frozenset[int]) -> list[str]:
