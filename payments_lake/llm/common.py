@@ -36,17 +36,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_LOCAL: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder that driver and executors share, below ``spark.checkpoint.dir``.
 
-    Only where that setting is missing, as in tests on one machine, a temporary folder is set.
+    Only where that setting is missing and driver and executors are one process, as in tests, a
+    temporary folder serves; anywhere else its files would be missing on the other machines.
     """
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
         "spark.checkpoint.dir", None
     )
     if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="llm-shared-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+        if not _LOCAL:
+            _LOCAL.append("file://" + tempfile.mkdtemp(prefix="llm-shared-"))
+        root = _LOCAL[0]
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 

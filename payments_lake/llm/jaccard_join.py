@@ -28,8 +28,9 @@ PIVOTS = 2
 # Prefixes are a tenth of the set longer than they must be for one token to be shared, so that the
 # tokens they share tell more.
 EXTRA = 10
-# Sizes within a twentieth are one class.
+# Sizes within a twentieth are one class; whole sets are bounded by classes of half a per cent.
 CLASS = 1.05
+FINE = 1.005
 
 
 def prefix_length(size: int, percent: int = PERCENT) -> int:
@@ -58,16 +59,59 @@ def _set_id(tokens: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def common_tokens(texts: DataFrame, most: int = MOST_COMMON) -> np.ndarray:
-    """The most frequent shingles, counted over all documents, ascending; at most ``most``.
+def shingle_sets(texts: DataFrame) -> DataFrame:
+    """Per row: doc_id, row_hash, size, set_id (null without words) and the ascending tokens. Copies
+    within a task have null tokens, as one array for each set is enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            sizes, names, held, ends = [], [], [], [0]
+            missing = []
+            for text in batch.column("text"):
+                tokens = shingle_set(text.as_py())
+                sizes.append(len(tokens))
+                names.append(_set_id(tokens) if len(tokens) else None)
+                new = names[-1] is not None and names[-1] not in seen
+                missing.append(not new)
+                if new:
+                    seen.add(names[-1])
+                    held.append(tokens)
+                ends.append(ends[-1] + (len(tokens) if new else 0))
+            flat = np.concatenate(held) if held else np.empty(0, np.uint64)
+            tokens = pa.ListArray.from_arrays(
+                pa.array(ends, pa.int32()), pa.array(flat.view(np.int64)), mask=pa.array(missing)
+            )
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("row_hash"), pa.array(sizes, pa.int64()),
+                 pa.array(names, pa.int64()), tokens],
+                ["doc_id", "row_hash", "size", "set_id", "tokens"],
+            )
+
+    kind = dict(texts.dtypes)["doc_id"]
+    return texts.mapInArrow(
+        run, f"doc_id {kind}, row_hash bigint, size bigint, set_id bigint, tokens array<bigint>"
+    )
+
+
+def arrays_of(batch: pa.RecordBatch, column: str = "tokens") -> Iterator[np.ndarray]:
+    """The arrays of a list column, without a copy."""
+    lists = batch.column(column)
+    flat = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
+    ends = lists.offsets.to_numpy()
+    for start, end in zip(ends[:-1], ends[1:], strict=True):
+        yield flat[start:end]
+
+
+def common_tokens(sets: DataFrame, most: int = MOST_COMMON) -> np.ndarray:
+    """The most frequent tokens of all sets, ascending; at most ``most``.
 
     Tasks count stretch by stretch and leave out what is rare within a stretch, so counts are
-    somewhat low; they decide on the order of tokens only. Exact copies in a stretch count once.
+    somewhat low; they decide on the order of tokens only.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
-        seen: set[int] = set()
         size = 0
 
         def counted() -> pa.RecordBatch:
@@ -79,87 +123,74 @@ def common_tokens(texts: DataFrame, most: int = MOST_COMMON) -> np.ndarray:
             )
 
         for batch in batches:
-            for text in batch.column("text"):
-                tokens = shingle_set(text.as_py())
-                name = _set_id(tokens)
-                if name in seen:
-                    continue
-                seen.add(name)
+            for tokens in arrays_of(batch):
                 held.append(tokens)
                 size += len(tokens)
                 if size >= COUNT_STRETCH:
                     yield counted()
-                    held, seen, size = [], set(), 0
+                    held, size = [], 0
         if held:
             yield counted()
 
     counts = (
-        texts.select("text").mapInArrow(count, "token bigint, n bigint")
+        sets.filter("tokens is not null").select("tokens").mapInArrow(count, "token bigint, n bigint")
         .groupBy("token").agg(F.sum("n").alias("n")).filter(F.col("n") >= COMMON_FROM)
     )
     rows = most_frequent(counts, most)
     return np.sort(np.array([r.token for r in rows], np.int64).view(np.uint64))
 
 
-def shingle_sets(texts: DataFrame, common: np.ndarray, percent: int = PERCENT) -> DataFrame:
-    """Per row: doc_id, text_hash, size, set_id (null without words), and the prefix of its tokens in the
-    common order: uncommon ones by hash, then common ones by hash. Copies within a task have a
-    null prefix, as one prefix for each set is enough."""
+def prefixes(sets: DataFrame, common: np.ndarray, percent: int = PERCENT) -> DataFrame:
+    """(set_id, size, prefix, usual) per set: the prefix of its tokens in the common order, which
+    is uncommon ones by hash, then common ones by hash. ``usual`` has the common ones of the prefix,
+    ``prefix`` the others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
         for batch in batches:
-            sizes, names, prefixes = [], [], []
-            for text in batch.column("text"):
-                tokens = shingle_set(text.as_py())
-                sizes.append(len(tokens))
-                if not len(tokens):
-                    names.append(None)
-                    prefixes.append(None)
-                    continue
-                names.append(_set_id(tokens))
-                if names[-1] in seen:
-                    prefixes.append(None)
-                    continue
-                seen.add(names[-1])
+            rare, usual = [], []
+            for tokens in arrays_of(batch):
                 at = np.searchsorted(common, tokens)
                 at[at == len(common)] = 0
                 is_common = common[at] == tokens if len(common) else np.zeros(len(tokens), bool)
-                ordered = np.concatenate([tokens[~is_common], tokens[is_common]])
-                prefixes.append(ordered[: prefix_length(len(tokens), percent)].view(np.int64))
+                left = prefix_length(len(tokens), percent)
+                rare.append(tokens[~is_common][:left].view(np.int64))
+                usual.append(tokens[is_common][: left - len(rare[-1])].view(np.int64))
+            kind = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()),
-                 pa.array(names, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))],
-                ["doc_id", "text_hash", "size", "set_id", "prefix"],
+                [batch.column("set_id"), batch.column("size"), pa.array(rare, kind), pa.array(usual, kind)],
+                ["set_id", "size", "prefix", "usual"],
             )
 
-    kind = dict(texts.dtypes)["doc_id"]
-    return texts.mapInArrow(
-        run, f"doc_id {kind}, text_hash bigint, size bigint, set_id bigint, prefix array<bigint>"
+    return sets.filter("tokens is not null").select("set_id", "size", "tokens").mapInArrow(
+        run, "set_id bigint, size bigint, prefix array<bigint>, usual array<bigint>"
     )
 
 
+def size_class(size: Column, width: float = CLASS) -> Column:
+    return F.floor(F.log(size) / F.log(F.lit(width))).cast("int")
+
+
 def shared_places(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(token, set_id, size, centre) of the prefix tokens that two different sets have, for sets
-    that may be similar to another; ``centre`` is the share of the prefix that is left.
+    """(token, set_id, size, class, centre) of the prefix tokens that two different sets have, for
+    sets that may be similar to another; ``centre`` is the share of the prefix that is left.
 
     This is a first token-group matrix, with groups of sets of about the same size: its rows at a
     set's tokens add up to an overlap that bounds that with any other set of the size. A set for
-    which all sizes stay closed is left out. Rows are at most the places times a few sizes.
+    which all sizes stay closed is left out. Rows are at most the places times a few sizes. Common
+    tokens are known to be shared, so only uncommon ones, which few sets have, are brought together.
     """
     token = Window.partitionBy("token")
     size = F.col("size")
-    shared = written(
-        sets.filter("prefix is not null")
-        .select(F.explode("prefix").alias("token"), "set_id", "size")
+    rare = (
+        sets.select(F.explode("prefix").alias("token"), "set_id", "size")
         .withColumn("least", F.min("set_id").over(token))
         .withColumn("most", F.max("set_id").over(token))
         .filter("least <> most")
         .select("token", "set_id", "size")
         .distinct()
-        .withColumn("class", F.floor(F.log(size) / F.log(F.lit(CLASS)))),
-        "shared",
     )
+    usual = sets.select(F.explode("usual").alias("token"), "set_id", "size").distinct()
+    shared = written(rare.unionAll(usual).withColumn("class", size_class(size)), "shared")
     matrix = shared.groupBy("token", F.col("class").alias("met")).agg(
         F.count("*").alias("members"), F.min("size").alias("smallest"), F.max("size").alias("largest"),
         F.max(rest(size, percent)).alias("rests"),
@@ -173,12 +204,18 @@ def shared_places(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
         .agg(F.count("*").alias("overlap"), F.min("smallest").alias("smallest"), F.max("rests").alias("rests"))
         .filter(F.col("overlap") >= asked(size, least_size, F.greatest(rest(size, percent), "rests"), percent))
     )
-    kept = written(shared.drop("class").join(open_sizes.select("set_id").distinct(), "set_id"), "open")
+    kept = written(shared.join(open_sizes.select("set_id").distinct(), "set_id"), "open")
     prefix = size - rest(size, percent)
     centres = kept.groupBy("set_id", "size").agg((F.count("*") / F.first(prefix)).alias("centre"))
     return written(kept.join(centres.drop("size"), "set_id"), "places")
 
 
+def met_by_others(places: DataFrame) -> DataFrame:
+    """The places whose token occurs in more than one group."""
+    groups = places.groupBy("token").agg(F.min("group").alias("least"), F.max("group").alias("most"))
+    return places.join(groups.filter("least <> most").select("token"), "token")
+
+
 def pivot_pairs(places: DataFrame, step: int, percent: int = PERCENT) -> DataFrame:
     """Pairs (a, b) of each set with its tokens' pivots, where they are in different groups.
 
@@ -194,8 +231,9 @@ def pivot_pairs(places: DataFrame, step: int, percent: int = PERCENT) -> DataFra
     )
     size, other = F.col("size"), F.col("drawn.size")
     least = asked(size, other, F.greatest(rest(size, percent), rest(other, percent)), percent)
+    pivots = places.groupBy("token").agg(F.min(drawn).alias("drawn"))
     return (
-        places.withColumn("drawn", F.min(drawn).over(Window.partitionBy("token")))
+        places.join(pivots, "token")
         .filter("drawn.group <> group")
         .groupBy(F.col("drawn.pivot").alias("a"), F.col("set_id").alias("b"))
         .agg(F.count("*").alias("n"), F.min(least).alias("asked"))
@@ -204,108 +242,116 @@ def pivot_pairs(places: DataFrame, step: int, percent: int = PERCENT) -> DataFra
     )
 
 
-def matrix_pairs(places: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs (a, b) left after the token-group matrix: every pair of sets in different groups that
-    may be similar.
+def qualifying_groups(places: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(set_id, met_group, met_class): the groups, by size classes, that a set can be similar to as
+    far as prefixes tell.
 
     The matrix has a row for each token in the union of a group's prefixes, with the sizes of the
     members that have it. Its rows at a set's tokens add up to the overlap of the set with the
-    group's union, which bounds that with any member. Where the bound is below what the sizes ask
-    for, the group stays closed; qualifying groups are opened and counted member by member.
+    union, which bounds that with any member. Where the bound is below what the sizes ask for, the
+    group stays closed.
     """
     size = F.col("size")
-    matrix = places.groupBy("token", F.col("group").alias("met")).agg(
+    matrix = places.groupBy("token", F.col("group").alias("met_group"), F.col("class").alias("met_class")).agg(
         F.min("size").alias("smallest"), F.max("size").alias("largest"), F.max(rest(size, percent)).alias("rests")
     )
     least_size = F.greatest(F.col("smallest"), F.ceil(percent * size / 100))
-    qualifying = (
+    least = asked(size, least_size, F.greatest(rest(size, percent), "rests"), percent)
+    return (
         places.join(matrix, "token")
-        .filter(F.col("group") > F.col("met"))
-        .groupBy("set_id", "size", "met")
-        .agg(
-            F.count("*").alias("overlap"), F.min("smallest").alias("smallest"),
-            F.max("largest").alias("largest"), F.max("rests").alias("rests"),
-        )
+        .filter(F.col("group") > F.col("met_group"))
         .filter((100 * F.col("largest") >= percent * size) & (percent * F.col("smallest") <= 100 * size))
-        .filter(F.col("overlap") >= asked(size, least_size, F.greatest(rest(size, percent), "rests"), percent))
-        .select("set_id", "met")
+        .groupBy("set_id", "size", "met_group", "met_class")
+        .agg(F.count("*").alias("overlap"), F.min("smallest").alias("smallest"), F.max("rests").alias("rests"))
+        .filter(F.col("overlap") >= least)
+        .select("set_id", "met_group", "met_class")
     )
-    queries = places.join(qualifying, "set_id").select(
-        "token", "met", F.col("set_id").alias("a"), size.alias("a_size")
+
+
+def matrix_pairs(places: DataFrame, sets: DataFrame, groups: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Pairs (a, b) left after the token-group matrix: every pair of sets in different groups that
+    may be similar, and some more. ``sets`` has set_id and all tokens.
+
+    The groups that qualify by prefixes are cut into members of nearly one size and bounded again
+    by whole sets: the matrix now has a row for each token in the union of such a part's sets, with
+    the number of members that have it. A set
+    that overlaps with the union in fewer tokens than it must share with a member of the group's
+    smallest size leaves the group closed. An open group is asked at few tokens: of ``overlap``
+    tokens that the union has, a similar member has at least ``least``, so it has one of any
+    ``overlap - least + 1`` of them, and those that the fewest members have are taken. A set that
+    barely qualifies, as those around a large group of near copies do, so meets few members.
+    """
+    met, coarse = ["met_group", "fine"], ["met_group", "met_class"]
+    qualifying = written(qualifying_groups(places, percent), "qualifying")
+    sized = sets.select("set_id", "tokens", F.size("tokens").cast("bigint").alias("size"))
+    members = written(
+        sized.join(groups, "set_id").select(
+            "set_id", "size", "tokens", F.col("group").alias("met_group"),
+            size_class(F.col("size")).alias("met_class"), size_class(F.col("size"), FINE).alias("fine"),
+        ).join(qualifying.select(*coarse).distinct(), coarse, "left_semi"),
+        "members",
+    )
+    places_of = members.select(*met, F.col("set_id").alias("b"), F.col("size").alias("b_size"), F.explode("tokens").alias("token"))
+    matrix = places_of.groupBy(*met, "token").agg(F.count("*").alias("n"))
+    sizes = members.groupBy(*coarse, "fine").agg(F.min("size").alias("smallest"))
+    size, group = F.col("size"), Window.partitionBy("set_id", *met)
+    least_size = F.greatest(F.col("smallest"), F.ceil(percent * size / 100))
+    queries = (
+        qualifying.join(sizes, coarse).join(sized, "set_id")
+        .withColumn("least", F.ceil(percent * (size + least_size) / (100 + percent)))
+        .select("set_id", "size", *met, "least", F.explode("tokens").alias("token"))
+        .join(matrix, [*met, "token"])
+        .withColumn("overlap", F.count("*").over(group))
+        .filter("overlap >= least")
+        .withColumn("place", F.row_number().over(group.orderBy("n", "token")))
+        .filter("place <= overlap - least + 1")
+        .select(*met, "token", F.col("set_id").alias("a"), "size")
     )
-    members = places.select("token", F.col("group").alias("met"), F.col("set_id").alias("b"), "size")
-    a_size = F.col("a_size")
-    least = asked(size, a_size, F.greatest(rest(size, percent), rest(a_size, percent)), percent)
     return (
-        queries.join(members, ["token", "met"])
-        .filter((100 * a_size >= percent * size) & (percent * a_size <= 100 * size))
-        .groupBy("a", "b")
-        .agg(F.count("*").alias("n"), F.min(least).alias("asked"))
-        .filter(F.col("n") >= F.col("asked"))
+        queries.join(places_of, [*met, "token"])
+        .filter((100 * size >= percent * F.col("b_size")) & (percent * size <= 100 * F.col("b_size")))
         .select("a", "b")
+        .distinct()
     )
 
 
-def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs whose whole sets are similar enough. ``texts`` has set_id and text."""
+def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs whose whole sets are similar enough. ``sets`` has set_id and tokens, once each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[int | None, np.ndarray] = (None, np.empty(0, np.uint64))
         for batch in batches:
-            firsts, seconds = batch.column("a").to_pylist(), batch.column("b").to_pylist()
             kept = []
-            for i, a in enumerate(firsts):
-                if a != last[0]:
-                    last = (a, shingle_set(batch.column("a_text")[i].as_py()))
-                mine, other = last[1], shingle_set(batch.column("b_text")[i].as_py())
+            for mine, other in zip(arrays_of(batch, "a_tokens"), arrays_of(batch, "b_tokens"), strict=True):
                 shared = len(np.intersect1d(mine, other, assume_unique=True))
-                if 100 * shared >= percent * (len(mine) + len(other) - shared):
-                    kept.append(i)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([firsts[i] for i in kept], pa.int64()), pa.array([seconds[i] for i in kept], pa.int64())],
-                ["a", "b"],
-            )
+                kept.append(100 * shared >= percent * (len(mine) + len(other) - shared))
+            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-    of_b = texts.select(F.col("set_id").alias("b"), F.col("text").alias("b_text"))
-    of_a = texts.select(F.col("set_id").alias("a"), F.col("text").alias("a_text"))
+    of_b = sets.select(F.col("set_id").alias("b"), F.col("tokens").alias("b_tokens"))
+    of_a = sets.select(F.col("set_id").alias("a"), F.col("tokens").alias("a_tokens"))
     return pairs.join(of_b, "b").join(of_a, "a").mapInArrow(run, "a bigint, b bigint")
 
 
-def linked_components(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (the smallest doc_id it is linked with).
+def row_hash(frame: DataFrame) -> Column:
+    """A hash of all columns that can be hashed, whatever their names."""
+    names = [f"`{c.replace('`', '``')}`" for c, kind in frame.dtypes if "map<" not in kind and kind != "variant"]
+    return F.xxhash64(*map(F.col, names))
 
-    Equal sets are one from the start. Groups of similar sets grow in ``ROUNDS`` rounds around
-    pivots; the token-group matrix then finds every remaining pair between groups that can be
-    similar, so no link that joins two components is lost. All pairs are verified on whole sets.
 
-    Null and empty texts have no shingles and their own doc_id as component; a null doc_id counts
-    in no minimum, so a component of such rows alone has a null id; repeated rows are one set; an
-    empty table gives no rows; other columns are ignored.
-    """
-    texts = documents.select("doc_id", text_or_empty("text").cast("binary").alias("text"))
-    texts = texts.withColumn("text_hash", F.xxhash64("text"))
-    sets = written(shingle_sets(texts, common_tokens(texts), percent), "sets")
-    named = sets.filter("set_id is not null")
-    places = shared_places(named, percent)
+def labelled(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Per row: doc_id, row_hash, n_shingles, group (null without words) and component_id."""
+    texts = documents.select("doc_id", text_or_empty("text").cast("binary").alias("text"), row_hash(documents).alias("row_hash"))
+    sets = written(shingle_sets(texts), "sets")
+    places = shared_places(prefixes(sets, common_tokens(sets), percent), percent)
     live = places.select("set_id").distinct()
-    first = named.groupBy("set_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
-    wanted = first.join(live, "set_id", "left_semi")
-    same = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.text_hash") == F.col("text_hash"))
-    live_texts = written(
-        texts.join(wanted, same).dropDuplicates(["set_id"]).select("set_id", "text"), "texts"
+    live_sets = written(
+        sets.filter("tokens is not null").select("set_id", "tokens").join(live, "set_id", "left_semi").dropDuplicates(["set_id"]),
+        "live",
     )
     groups = live.select("set_id", F.col("set_id").alias("group"))
     for step in range(ROUNDS + 1):
-        grouped = places.join(groups, "set_id")
-        token = Window.partitionBy("token")
-        open_places = (
-            grouped.withColumn("least", F.min("group").over(token))
-            .withColumn("most", F.max("group").over(token))
-            .filter("least <> most").drop("least", "most")
-        )
-        places = written(open_places, "places")
-        pairs = pivot_pairs(places, step, percent) if step < ROUNDS else matrix_pairs(places, percent)
-        links = written(verified(written(pairs, "pairs"), live_texts, percent), "links")
+        places = written(met_by_others(places.join(groups, "set_id")), "places")
+        pairs = pivot_pairs(places, step, percent) if step < ROUNDS else matrix_pairs(places, live_sets, groups, percent)
+        links = written(verified(written(pairs, "pairs"), live_sets, percent), "links")
         places = places.drop("group")
         if links.isEmpty():
             continue
@@ -319,22 +365,45 @@ def linked_components(documents: DataFrame, percent: int = PERCENT) -> DataFrame
             ),
             "groups",
         )
-    grouped = sets.drop("prefix", "text_hash").join(groups, "set_id", "left").withColumn(
-        "group", F.coalesce("group", "set_id")
-    )
+    grouped = sets.select("doc_id", "row_hash", F.col("size").alias("n_shingles"), "set_id").join(
+        groups, "set_id", "left"
+    ).withColumn("group", F.coalesce("group", "set_id"))
     ids = grouped.filter("group is not null").groupBy("group").agg(F.min("doc_id").alias("component_id"))
     shared = grouped.filter("group is not null").join(ids, "group")
     alone = grouped.filter("group is null").withColumn("component_id", F.col("doc_id"))
-    columns = ["doc_id", F.col("size").alias("n_shingles"), "component_id"]
+    columns = ["doc_id", "row_hash", "n_shingles", "group", "component_id"]
     return shared.select(*columns).unionAll(alone.select(*columns))
 
 
+def linked_components(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (the smallest doc_id it is linked with).
+
+    Equal sets are one from the start. Groups of similar sets grow in ``ROUNDS`` rounds around
+    pivots; the token-group matrix then finds every remaining pair between groups that can be
+    similar, so no link that joins two components is lost. All pairs are verified on whole sets.
+
+    Null and empty texts have no shingles and their own doc_id as component; a null doc_id counts
+    in no minimum, so a component of such rows alone has a null id; repeated rows are one set; a
+    very long text is one set of all its shingles, sixteen bytes for each of its words in memory;
+    an empty table gives no rows; other columns are ignored.
+    """
+    return labelled(documents, percent).select("doc_id", "n_shingles", "component_id")
+
+
 def one_per_component(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The documents, with all their columns, that have the smallest doc_id of their component.
+    """One row, with all its columns, of each component: that with the smallest doc_id.
 
-    Rows that repeat both doc_id and text stay once. Rows without a doc_id can't be named and stay.
+    Where several rows of a component have this doc_id, that with the smallest hash of all columns
+    stays, whatever else the doc_id names. Of rows without words one stays for each doc_id. Rows
+    without a doc_id can't be named and all stay. Further columns may have any names.
     """
-    found = linked_components(documents, percent)
-    chosen = found.filter("doc_id = component_id").select("doc_id").distinct()
-    named = documents.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return named.unionAll(documents.filter("doc_id is null")).select(*documents.columns)
+    found = labelled(documents, percent).filter("doc_id = component_id")
+    least = F.min("row_hash").alias("_row_hash")
+    chosen = found.filter("group is not null").groupBy("group", F.col("doc_id").alias("_doc_id")).agg(least).drop("group")
+    empty = found.filter("group is null").groupBy(F.col("doc_id").alias("_doc_id")).agg(least)
+    hashed = documents.withColumn("_row_hash", row_hash(documents))
+    ids = chosen.unionAll(empty).select("_doc_id", F.col("_row_hash").alias("_chosen"))
+    named = hashed.join(
+        ids, (hashed["doc_id"] == F.col("_doc_id")) & (hashed["_row_hash"] == F.col("_chosen")), "left_semi"
+    ).dropDuplicates(["doc_id", "_row_hash"])
+    return named.unionAll(hashed.filter(hashed["doc_id"].isNull())).drop("_row_hash")

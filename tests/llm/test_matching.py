@@ -109,6 +109,71 @@ def test_components_equal_brute_force(spark, seed):
     assert [out[i] for i in range(len(texts))] == brute_components(texts)
 
 
+def smallest_linked(texts):
+    """The smallest linked number of each text, by all pairs."""
+    sets = shingle_sets(texts)
+    label = list(range(len(texts)))
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if a and 100 * both >= 75 * len(a | sets[j]) and root(i) != root(j):
+                label[max(root(i), root(j))] = min(root(i), root(j))
+    return [root(i) for i in range(len(texts))]
+
+
+def edited_copies(draw, words, n, edits):
+    out = []
+    for _ in range(n):
+        copy = list(words)
+        for _ in range(draw.choice(edits)):
+            copy[draw.randrange(len(copy))] = f"w{draw.randrange(10**9)}"
+        out.append(" ".join(copy))
+    return out
+
+
+def test_large_group_of_near_copies_with_stragglers(spark):
+    """Copies with few changes link with the original; those with three or four changed places lie
+    on both sides of the threshold, some linked with a few members only."""
+    draw = random.Random(11)
+    words = [f"v{i}" for i in range(130)]
+    texts = edited_copies(draw, words, 300, [0, 1, 1, 2, 2, 3, 3, 4, 4, 5]) + edited_copies(draw, words[:110], 60, [0, 1, 2, 3])
+    texts += edited_copies(draw, [f"u{i}" for i in range(60)], 40, [0, 1, 1, 2]) + [" ".join(words)] * 5
+    draw.shuffle(texts)
+    found = {r.doc_id: r.component_id for r in linked_components(documents(spark, texts)).collect()}
+    assert [found[i] for i in range(len(texts))] == smallest_linked(texts)
+    assert 2 < len(set(found.values())) < len(texts)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_links_without_pivots(spark, monkeypatch, seed):
+    """The matrix alone finds all links, large groups or small."""
+    monkeypatch.setattr("payments_lake.llm.jaccard_join.ROUNDS", 0)
+    draw = random.Random(seed)
+    texts = [t for k in range(8) for t in edited_copies(draw, [f"{k}x{i}" for i in range(30 + 20 * k)], 14, range(6))]
+    found = {r.doc_id: r.component_id for r in linked_components(documents(spark, texts)).collect()}
+    assert [found[i] for i in range(len(texts))] == smallest_linked(texts)
+
+
+def test_one_row_of_each_component_whatever_repeats(spark):
+    a, b = PLAIN * 3, "entirely different words are written in this other text here " * 3
+    rows = [(3, a, "x"), (5, a, "x"), (5, b, "x"), (7, b, "y"), (7, b, "y"), (8, None, "x"), (8, None, "x"), (8, "", "z"), (None, a, "x"), (None, a, "x")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, `a.b` string").withColumn("group", F.lit(1)).withColumn("_doc_id", F.lit(2))
+    kept = one_per_component(frame)
+    assert kept.columns == frame.columns
+    got = sorted((r.doc_id if r.doc_id is not None else -1, (r.text or "")[:5]) for r in kept.collect())
+    assert got == [(-1, a[:5]), (-1, a[:5]), (3, a[:5]), (5, b[:5]), (8, "")]
+    # Rows that differ in another column only: always the same one stays.
+    ties = spark.createDataFrame([(1, a, "p"), (1, a, "q")], "doc_id bigint, text string, `a.b` string")
+    assert len({one_per_component(ties.orderBy(F.desc("`a.b`")) if i else ties).first()["a.b"] for i in range(2)}) == 1
+    assert one_per_component(frame.limit(0)).collect() == []
+
+
 def test_one_document_of_each_component_stays(spark):
     texts = AWKWARD + near_copies(3, groups=4)
     frame = documents(spark, texts)
