@@ -7,12 +7,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from payments_lake.llm.common import most_frequent, text_or_empty, written
 from payments_lake.llm.components import components
-from payments_lake.llm.shingles import shingle_set
+from payments_lake.llm.shingles import shingle_set, shingles
 
 PERCENT = 75
 # Order of tokens: at most this many of the most frequent ones come last. Any order gives the same
@@ -59,59 +60,16 @@ def _set_id(tokens: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def shingle_sets(texts: DataFrame) -> DataFrame:
-    """Per row: doc_id, row_hash, size, set_id (null without words) and the ascending tokens. Copies
-    within a task have null tokens, as one array for each set is enough."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            sizes, names, held, ends = [], [], [], [0]
-            missing = []
-            for text in batch.column("text"):
-                tokens = shingle_set(text.as_py())
-                sizes.append(len(tokens))
-                names.append(_set_id(tokens) if len(tokens) else None)
-                new = names[-1] is not None and names[-1] not in seen
-                missing.append(not new)
-                if new:
-                    seen.add(names[-1])
-                    held.append(tokens)
-                ends.append(ends[-1] + (len(tokens) if new else 0))
-            flat = np.concatenate(held) if held else np.empty(0, np.uint64)
-            tokens = pa.ListArray.from_arrays(
-                pa.array(ends, pa.int32()), pa.array(flat.view(np.int64)), mask=pa.array(missing)
-            )
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("row_hash"), pa.array(sizes, pa.int64()),
-                 pa.array(names, pa.int64()), tokens],
-                ["doc_id", "row_hash", "size", "set_id", "tokens"],
-            )
-
-    kind = dict(texts.dtypes)["doc_id"]
-    return texts.mapInArrow(
-        run, f"doc_id {kind}, row_hash bigint, size bigint, set_id bigint, tokens array<bigint>"
-    )
-
-
-def arrays_of(batch: pa.RecordBatch, column: str = "tokens") -> Iterator[np.ndarray]:
-    """The arrays of a list column, without a copy."""
-    lists = batch.column(column)
-    flat = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
-    ends = lists.offsets.to_numpy()
-    for start, end in zip(ends[:-1], ends[1:], strict=True):
-        yield flat[start:end]
-
-
-def common_tokens(sets: DataFrame, most: int = MOST_COMMON) -> np.ndarray:
-    """The most frequent tokens of all sets, ascending; at most ``most``.
+def common_tokens(texts: DataFrame, most: int = MOST_COMMON) -> np.ndarray:
+    """The most frequent shingles, counted over all documents, ascending; at most ``most``.
 
     Tasks count stretch by stretch and leave out what is rare within a stretch, so counts are
-    somewhat low; they decide on the order of tokens only.
+    somewhat low; they decide on the order of tokens only. Exact copies in a stretch count once.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
+        seen: set[int] = set()
         size = 0
 
         def counted() -> pa.RecordBatch:
@@ -123,49 +81,95 @@ def common_tokens(sets: DataFrame, most: int = MOST_COMMON) -> np.ndarray:
             )
 
         for batch in batches:
-            for tokens in arrays_of(batch):
-                held.append(tokens)
-                size += len(tokens)
+            for text in batch.column("text"):
+                text = text.as_py()
+                name = xxhash.xxh3_64_intdigest(text)
+                if name in seen:
+                    continue
+                seen.add(name)
+                held.append(shingles(text))
+                size += len(held[-1])
                 if size >= COUNT_STRETCH:
                     yield counted()
-                    held, size = [], 0
-        if held:
+                    held, seen, size = [], set(), 0
+        if size:
             yield counted()
 
     counts = (
-        sets.filter("tokens is not null").select("tokens").mapInArrow(count, "token bigint, n bigint")
+        texts.select("text").mapInArrow(count, "token bigint, n bigint")
         .groupBy("token").agg(F.sum("n").alias("n")).filter(F.col("n") >= COMMON_FROM)
     )
     rows = most_frequent(counts, most)
     return np.sort(np.array([r.token for r in rows], np.int64).view(np.uint64))
 
 
-def prefixes(sets: DataFrame, common: np.ndarray, percent: int = PERCENT) -> DataFrame:
-    """(set_id, size, prefix, usual) per set: the prefix of its tokens in the common order, which
-    is uncommon ones by hash, then common ones by hash. ``usual`` has the common ones of the prefix,
-    ``prefix`` the others."""
+def shingle_sets(texts: DataFrame, common: np.ndarray, percent: int = PERCENT) -> DataFrame:
+    """Per row: doc_id, row_hash, size, set_id (null without words), prefix and usual.
+
+    The prefix of a set's tokens in the common order, which is uncommon ones by hash, then common
+    ones by hash: ``usual`` has the common ones of it, ``prefix`` the others. Copies within a task
+    have null prefixes, as one for each set is enough.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        kind = pa.list_(pa.int64())
         for batch in batches:
-            rare, usual = [], []
-            for tokens in arrays_of(batch):
+            sizes, names, rare, usual = [], [], [], []
+            for text in batch.column("text"):
+                tokens = shingle_set(text.as_py())
+                sizes.append(len(tokens))
+                names.append(_set_id(tokens) if len(tokens) else None)
+                if names[-1] is None or names[-1] in seen:
+                    rare.append(None)
+                    usual.append(None)
+                    continue
+                seen.add(names[-1])
                 at = np.searchsorted(common, tokens)
                 at[at == len(common)] = 0
                 is_common = common[at] == tokens if len(common) else np.zeros(len(tokens), bool)
                 left = prefix_length(len(tokens), percent)
                 rare.append(tokens[~is_common][:left].view(np.int64))
                 usual.append(tokens[is_common][: left - len(rare[-1])].view(np.int64))
-            kind = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("set_id"), batch.column("size"), pa.array(rare, kind), pa.array(usual, kind)],
-                ["set_id", "size", "prefix", "usual"],
+                [batch.column("doc_id"), batch.column("row_hash"), pa.array(sizes, pa.int64()),
+                 pa.array(names, pa.int64()), pa.array(rare, kind), pa.array(usual, kind)],
+                ["doc_id", "row_hash", "size", "set_id", "prefix", "usual"],
             )
 
-    return sets.filter("tokens is not null").select("set_id", "size", "tokens").mapInArrow(
-        run, "set_id bigint, size bigint, prefix array<bigint>, usual array<bigint>"
+    kind = dict(texts.dtypes)["doc_id"]
+    return texts.mapInArrow(
+        run,
+        f"doc_id {kind}, row_hash bigint, size bigint, set_id bigint, prefix array<bigint>, usual array<bigint>",
     )
 
 
+def whole_sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(set_id, tokens): all tokens, ascending, of the sets that ``wanted`` (set_id, doc_id,
+    row_hash) names a row of."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens = [shingle_set(text.as_py()).view(np.int64) for text in batch.column("text")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("set_id"), pa.array(tokens, pa.list_(pa.int64()))], ["set_id", "tokens"]
+            )
+
+    named = wanted.select("set_id", F.col("doc_id").alias("of_doc"), F.col("row_hash").alias("of_row"))
+    same = F.col("of_doc").eqNullSafe(F.col("doc_id")) & (F.col("of_row") == F.col("row_hash"))
+    chosen = texts.join(named, same).select("set_id", "text").dropDuplicates(["set_id"])
+    return chosen.mapInArrow(run, "set_id bigint, tokens array<bigint>")
+
+
+def arrays_of(batch: pa.RecordBatch, column: str = "tokens") -> Iterator[np.ndarray]:
+    """The arrays of a list column, without a copy."""
+    lists = batch.column(column)
+    flat = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
+    ends = lists.offsets.to_numpy()
+    for start, end in zip(ends[:-1], ends[1:], strict=True):
+        yield flat[start:end]
+
+
 def size_class(size: Column, width: float = CLASS) -> Column:
     return F.floor(F.log(size) / F.log(F.lit(width))).cast("int")
 
@@ -340,13 +344,11 @@ def row_hash(frame: DataFrame) -> Column:
 def labelled(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Per row: doc_id, row_hash, n_shingles, group (null without words) and component_id."""
     texts = documents.select("doc_id", text_or_empty("text").cast("binary").alias("text"), row_hash(documents).alias("row_hash"))
-    sets = written(shingle_sets(texts), "sets")
-    places = shared_places(prefixes(sets, common_tokens(sets), percent), percent)
+    sets = written(shingle_sets(texts, common_tokens(texts), percent), "sets")
+    places = shared_places(sets.filter("prefix is not null").select("set_id", "size", "prefix", "usual"), percent)
     live = places.select("set_id").distinct()
-    live_sets = written(
-        sets.filter("tokens is not null").select("set_id", "tokens").join(live, "set_id", "left_semi").dropDuplicates(["set_id"]),
-        "live",
-    )
+    first = sets.filter("prefix is not null").groupBy("set_id").agg(F.min(F.struct("doc_id", "row_hash")).alias("first"))
+    live_sets = written(whole_sets(texts, first.join(live, "set_id", "left_semi").select("set_id", "first.*")), "live")
     groups = live.select("set_id", F.col("set_id").alias("group"))
     for step in range(ROUNDS + 1):
         places = written(met_by_others(places.join(groups, "set_id")), "places")
