@@ -113,7 +113,6 @@ def shingle_sets(texts: DataFrame, common: np.ndarray, percent: int = PERCENT) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        kind = pa.list_(pa.int64())
         for batch in batches:
             sizes, names, rare, usual = [], [], [], []
             for text in batch.column("text"):
@@ -133,7 +132,7 @@ def shingle_sets(texts: DataFrame, common: np.ndarray, percent: int = PERCENT) -
                 usual.append(tokens[is_common][: left - len(rare[-1])].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("row_hash"), pa.array(sizes, pa.int64()),
-                 pa.array(names, pa.int64()), pa.array(rare, kind), pa.array(usual, kind)],
+                 pa.array(names, pa.int64()), lists_of(rare), lists_of(usual)],
                 ["doc_id", "row_hash", "size", "set_id", "prefix", "usual"],
             )
 
@@ -151,9 +150,7 @@ def whole_sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             tokens = [shingle_set(text.as_py()).view(np.int64) for text in batch.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("set_id"), pa.array(tokens, pa.list_(pa.int64()))], ["set_id", "tokens"]
-            )
+            yield pa.RecordBatch.from_arrays([batch.column("set_id"), lists_of(tokens)], ["set_id", "tokens"])
 
     named = wanted.select("set_id", F.col("doc_id").alias("of_doc"), F.col("row_hash").alias("of_row"))
     same = F.col("of_doc").eqNullSafe(F.col("doc_id")) & (F.col("of_row") == F.col("row_hash"))
@@ -161,6 +158,15 @@ def whole_sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     return chosen.mapInArrow(run, "set_id bigint, tokens array<bigint>")
 
 
+def lists_of(arrays: list[np.ndarray | None]) -> pa.Array:
+    """A list column of the arrays, null for None."""
+    held = [a for a in arrays if a is not None]
+    ends = np.cumsum([0, *(0 if a is None else len(a) for a in arrays)])
+    missing = pa.array([a is None for a in arrays], pa.bool_())
+    flat = pa.array(np.concatenate(held) if held else np.empty(0, np.int64))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat, mask=missing)
+
+
 def arrays_of(batch: pa.RecordBatch, column: str = "tokens") -> Iterator[np.ndarray]:
     """The arrays of a list column, without a copy."""
     lists = batch.column(column)
@@ -400,12 +406,12 @@ def one_per_component(documents: DataFrame, percent: int = PERCENT) -> DataFrame
     without a doc_id can't be named and all stay. Further columns may have any names.
     """
     found = labelled(documents, percent).filter("doc_id = component_id")
-    least = F.min("row_hash").alias("_row_hash")
-    chosen = found.filter("group is not null").groupBy("group", F.col("doc_id").alias("_doc_id")).agg(least).drop("group")
-    empty = found.filter("group is null").groupBy(F.col("doc_id").alias("_doc_id")).agg(least)
-    hashed = documents.withColumn("_row_hash", row_hash(documents))
-    ids = chosen.unionAll(empty).select("_doc_id", F.col("_row_hash").alias("_chosen"))
-    named = hashed.join(
-        ids, (hashed["doc_id"] == F.col("_doc_id")) & (hashed["_row_hash"] == F.col("_chosen")), "left_semi"
-    ).dropDuplicates(["doc_id", "_row_hash"])
-    return named.unionAll(hashed.filter(hashed["doc_id"].isNull())).drop("_row_hash")
+    least = F.min("row_hash").alias("least_row")
+    chosen = found.filter("group is not null").groupBy("group", "doc_id").agg(least).drop("group")
+    empty = found.filter("group is null").groupBy("doc_id").agg(least)
+    columns = [F.col(f"`{c.replace('`', '``')}`") for c in documents.columns]
+    rows = documents.select(F.col("doc_id").alias("of_doc"), row_hash(documents).alias("of_row"), F.struct(*columns).alias("row"))
+    named = rows.join(
+        chosen.unionAll(empty), (F.col("of_doc") == F.col("doc_id")) & (F.col("of_row") == F.col("least_row")), "left_semi"
+    ).dropDuplicates(["of_doc", "of_row"])
+    return named.unionAll(rows.filter("of_doc is null")).select("row.*")

@@ -161,7 +161,7 @@ def test_links_without_pivots(spark, monkeypatch, seed):
 
 
 def test_one_row_of_each_component_whatever_repeats(spark):
-    a, b = PLAIN * 3, "entirely different words are written in this other text here " * 3
+    a, b = "the quick brown fox jumps over the lazy dog while seven wise owls watch " * 3, "entirely different words are written in this other text here " * 3
     rows = [(3, a, "x"), (5, a, "x"), (5, b, "x"), (7, b, "y"), (7, b, "y"), (8, None, "x"), (8, None, "x"), (8, "", "z"), (None, a, "x"), (None, a, "x")]
     frame = spark.createDataFrame(rows, "doc_id bigint, text string, `a.b` string").withColumn("group", F.lit(1)).withColumn("_doc_id", F.lit(2))
     kept = one_per_component(frame)
