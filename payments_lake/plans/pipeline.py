@@ -9,12 +9,19 @@ from dataclasses import dataclass
 from datetime import UTC, datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from payments_lake import __version__
 from payments_lake.operators.dimensions import profile_dimensions
 from payments_lake.operators.duplicates import profile_duplicates
-from payments_lake.operators.gold import MARTS, build_marts, mart_base
+from payments_lake.operators.gold import (
+    MARTS,
+    build_marts,
+    build_sketch_marts,
+    mart_base,
+    sketch_base,
+)
 from payments_lake.operators.missing import missing_example_report, profile_missing
 from payments_lake.operators.rules import profile_business_rules, rule_example_report
 from payments_lake.operators.sampling import ROWS_PER_YEAR, stratified_sample
@@ -78,21 +85,36 @@ class Layout:
 def transform_to_silver(
     spark: SparkSession, raw_path: str, layout: Layout, multiline: bool | None = None
 ) -> dict:
-    """Land the raw files, write silver, and count both tables on their own."""
+    """Land the raw files and write silver, which is counted while it is written."""
     landed = land_raw(spark, raw_path, layout.landed, multiline)
-    write_silver(to_silver(landed), layout.silver)
+    silver = Observation()
+    write_silver(
+        to_silver(landed), layout.silver, observe=(silver, F.count(F.lit(1)).alias("rows"))
+    )
     return {
+        # From the footers of the landed files. A count that is observed before a shuffle would
+        # count rows twice where lost tasks run again.
         "source_rows": landed.count(),
-        "silver_rows": read_silver(spark, layout.silver).count(),
+        "silver_rows": silver.get["rows"],
         "output": layout.silver,
         "available": True,
     }
 
 
-def build_gold_marts(spark: SparkSession, layout: Layout, fmt: str = "parquet") -> dict:
-    """Write the five marts. Silver is scanned once, for the base they all roll up."""
-    write_table(mart_base(read_silver(spark, layout.silver)), layout.gold_base)
-    marts = build_marts(read_table(spark, layout.gold_base))
+def build_gold_marts(
+    spark: SparkSession, layout: Layout, fmt: str = "parquet", suppliers: str = "exact"
+) -> dict:
+    """Write the five marts. Silver is scanned once, for the base they all roll up.
+
+    ``suppliers="sketch"`` estimates distinct suppliers, which keeps the base small however many
+    suppliers there are; the supplier mart then scans silver on its own.
+    """
+    if suppliers not in ("exact", "sketch"):
+        raise ValueError(f"suppliers are counted 'exact' or by 'sketch', not {suppliers!r}")
+    silver = read_silver(spark, layout.silver)
+    write_table(mart_base(silver) if suppliers == "exact" else sketch_base(silver), layout.gold_base)
+    base = read_table(spark, layout.gold_base)
+    marts = build_marts(base) if suppliers == "exact" else build_sketch_marts(silver, base)
     written = []
     for name, mart in marts.items():
         write_table(mart, layout.mart(name), fmt)

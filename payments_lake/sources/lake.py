@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from payments_lake.schema import SILVER_COLUMNS, SILVER_SCHEMA
 
 
-def write_silver(silver: DataFrame, path: str, rebalance: bool = True) -> None:
-    """Write silver partitioned by fiscal year.
+def write_silver(
+    silver: DataFrame,
+    path: str,
+    rebalance: bool = True,
+    observe: tuple[Observation, Column] | None = None,
+) -> None:
+    """Write silver partitioned by fiscal year. ``observe`` is filled from the rows as written.
 
     Without the rebalance every task would write a file per year. The hint moves rows of a year
     together and lets adaptive execution cut a year that holds a large share of all rows into
     several files and join small ones, so neither tiny files nor one huge task result.
     """
     laid_out = silver.hint("rebalance", "fiscal_year") if rebalance else silver
+    if observe is not None:
+        laid_out = laid_out.observe(*observe)
     laid_out.write.mode("overwrite").partitionBy("fiscal_year").parquet(path)
 
 

@@ -23,6 +23,7 @@ from payments_lake.schema import (
     SILVER_SCHEMA,
     WARNING,
 )
+from payments_lake.sources import raw_table
 
 SUPPLIER = "Supplier & Other Non-Supplier Payees"
 
@@ -102,8 +103,6 @@ def test_nonzero_mart_drops_groups_that_cancel(ledger):
 
 
 def test_marts_from_base_equal_marts_from_silver(spark, sf_dir):
-    from payments_lake.sources import raw_table
-
     silver = to_silver(raw_table(spark, sf_dir)).persist()
     rows = silver.count()
     for name, mart in gold.build_marts(gold.mart_base(silver)).items():
@@ -115,6 +114,26 @@ def test_marts_from_base_equal_marts_from_silver(spark, sf_dir):
     silver.unpersist()
 
 
+def test_sketch_base_is_small_and_its_estimates_near(spark, ledger):
+    changes = [
+        {"Supplier & Other Non-Supplier Payees": f"S{i % 5000}", "Department": f"D{i % 4}", "Vouchers Paid": str(i)}
+        for i in range(12_000)
+    ]
+    silver = to_silver(ledger(*changes)).repartition(6)
+    base = gold.sketch_base(silver)
+    assert base.count() < 0.05 * gold.mart_base(silver).count()
+    marts = gold.build_sketch_marts(silver, base)
+    for spec in gold.MARTS:
+        exact = {tuple(r[k] for k in spec.keys): r for r in gold.build_mart(silver, spec).collect()}
+        found = {tuple(r[k] for k in spec.keys): r for r in marts[spec.name].collect()}
+        assert found.keys() == exact.keys()
+        for key, row in found.items():
+            for metric in gold.METRICS:
+                if metric != "unique_suppliers":
+                    assert row[metric] == exact[key][metric]
+            assert abs(row["unique_suppliers"] - exact[key]["unique_suppliers"]) <= 0.065 * exact[key]["unique_suppliers"]
+
+
 def test_supplier_mart_breaks_ties_by_name(ledger):
     silver = to_silver(ledger(*[{SUPPLIER: f"S{i:03d}"} for i in range(130)]))
     mart = gold.build_mart(silver, gold.SPECS["mart_spending_by_supplier_top_n"]).collect()
@@ -144,6 +163,38 @@ def test_extremes_take_the_first_of_equal_values(ledger):
     assert (counts.null_count, counts.negative_count, counts.positive_count) == (2, 2, 3)
 
 
+def test_extremes_stay_in_hash_aggregations(spark, sf_dir):
+    raw = raw_table(spark, sf_dir)
+    plan = rules.extreme_values(raw)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_extremes_without_values_and_with_ties_over_files(ledger):
+    raw = numbered(
+        ledger(*[{"Vouchers Paid": "5", "Vouchers Pending": None, "Department": f"D{i}"} for i in range(20)])
+    ).withColumn(ROW_ID, 100 - F.col(ROW_ID))
+    rows = {(r.column_name, r.extreme): r for r in rules.amount_extremes(raw.repartition(5)).collect()}
+    assert len(rows) == 8
+    last = raw.orderBy("_row_id").first()["Department"]
+    assert rows["Vouchers Paid", "min"].department == rows["Vouchers Paid", "max"].department == last
+    assert rows["Vouchers Pending", "max"].value is None and rows["Vouchers Pending", "max"].department is None
+
+
+def test_examples_of_all_rules_in_one_scan(ledger):
+    broken = {"Fiscal Year": "2030", "Department": None, "Purchase Order Date": "2021/01/01"}
+    raw = numbered(ledger(*[broken if i % 2 else {} for i in range(60)], {"Purchase Order": None, "Fiscal Year": None}))
+    every = list(rules.RULE_EXAMPLES)
+    rows = rules.violation_examples(raw, every, n=4).collect()
+    masks = rules.rule_masks()
+    for rule in every:
+        want = [r["_row_id"] for r in raw.filter(masks[rule]).orderBy("_row_id").limit(4).collect()]
+        assert sorted(r.row_id for r in rows if r.rule == rule) == want
+    assert {r.rule for r in rows} >= {"date_order", "fiscal_year_mismatch", "warning_missing", "critical_missing"}
+    assert all(r.data_loaded_at is None for r in rows if r.rule == "fiscal_year_mismatch")
+    text = rules.violation_examples(raw, every)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Scan") == 1 and "WindowGroupLimit" in text
+
+
 def test_hot_key_is_counted_whole(ledger):
     raw = ledger(*[{"Purchase Order": " Direct Payments" if i < 60 else str(i)} for i in range(90)])
     profile = {r.key_name: r for r in duplicates.key_profile(raw).collect()}

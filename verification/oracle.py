@@ -350,6 +350,18 @@ ORACLE["group_metrics"] = over(
     "stored", rounded_mart(["fiscal_year", "purchasing_authority_description"], "")
 )
 _MART_CTES = [f"{name} as ({mart(keys, tail)})" for name, (keys, tail) in _MART_BODIES.items()]
+ORACLE["gold_marts_from_sketches"] = over(
+    "stored",
+    union(
+        [
+            f"select '{name}' as mart, count(*) as row_count, "
+            f"round({total('total_vouchers_paid')}, 2) as paid, "
+            f"cast(sum(record_count) as bigint) as records, true as near from {name}"
+            for name in _MART_BODIES
+        ]
+    ),
+    *_MART_CTES,
+)
 ORACLE["gold_marts_from_base"] = over(
     "stored",
     union(

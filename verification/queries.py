@@ -87,6 +87,34 @@ def marts(silver: DataFrame) -> dict[str, DataFrame]:
     return {spec.name: gold.build_mart(silver, spec) for spec in gold.MARTS}
 
 
+def sketch_marts(silver: DataFrame) -> DataFrame:
+    """All marts rolled up from the sketch base: rows and totals of each, and whether the estimated
+    suppliers of every group lie within four standard errors of the exact ones."""
+    parts = []
+    estimated = gold.build_sketch_marts(silver, gold.sketch_base(silver))
+    for spec in gold.MARTS:
+        exact = gold.group_metrics(silver, spec.keys).select(
+            *[F.col(key).alias(f"of_{key}") for key in spec.keys],
+            F.col("unique_suppliers").alias("exact"),
+        )
+        same = F.lit(True)
+        for key in spec.keys:
+            same = same & F.col(key).eqNullSafe(F.col(f"of_{key}"))
+        most = F.greatest(F.lit(1.0), 4 * 0.0163 * F.col("exact"))
+        parts.append(
+            estimated[spec.name]
+            .join(exact, same)
+            .agg(
+                F.lit(spec.name).alias("mart"),
+                F.count(F.lit(1)).alias("row_count"),
+                gold.exact_total(F.col("total_vouchers_paid")).alias("paid"),
+                F.sum("record_count").alias("records"),
+                F.bool_and(F.abs(F.col("unique_suppliers") - F.col("exact")) <= most).alias("near"),
+            )
+        )
+    return missing.union_reports(parts)
+
+
 def shared_base_marts(silver: DataFrame) -> DataFrame:
     """All marts rolled up from the shared base: rows and totals of each."""
     parts = []
@@ -202,6 +230,7 @@ QUERIES: dict[str, Query] = {
         )
     ),
     "gold_marts_from_base": on_silver(shared_base_marts),
+    "gold_marts_from_sketches": on_silver(sketch_marts),
     # missing values and types
     "null_counts": on_raw(missing.null_counts),
     "critical_missing_rows": on_raw(missing.critical_missing_rows),
