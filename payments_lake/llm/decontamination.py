@@ -24,6 +24,8 @@ STRETCH = 8192  # shingles of a text that are hashed at once
 SEEDS = mixed(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))[:, None]
 FACTOR = np.uint64(0x9FB21C651E98DF25)
 LOW = np.uint64(0xFFFF)
+# Texts are looked at in segments of three units of this power; memory doesn't grow with the text.
+SEGMENT = 16
 
 
 def permuted(values: np.ndarray) -> np.ndarray:
@@ -45,30 +47,59 @@ class ItemIndex:
         self.ids, self.sets = [], []
         self.minima: dict[int, dict[tuple[int, int], list[int]]] = defaultdict(lambda: defaultdict(list))
         self.maybe: dict[int, np.ndarray] = {}
+        self.of_single: dict[int, list[int]] = defaultdict(list)
         for item_id, text in items:
             own = shingle_set(text)
             if not len(own):
                 continue
-            power = max(0, math.ceil(math.log2(len(own))))
+            if len(own) == 1:
+                # Looked up as it is: a window of one shingle would hold 64 minima for each word.
+                self.of_single[int(own[0])].append(len(self.ids))
+                self.ids.append(item_id)
+                self.sets.append(own)
+                continue
+            power = math.ceil(math.log2(len(own)))
             for f, value in enumerate(permuted(own).min(axis=1)):
                 self.minima[power][f, int(value)].append(len(self.ids))
                 self.maybe.setdefault(power, np.zeros(1 << 16, bool))[int(value & LOW)] = True
             self.ids.append(item_id)
             self.sets.append(own)
+        self.single = np.array(sorted(self.of_single), np.uint64)
 
     def candidates(self, places: np.ndarray) -> set[int]:
         """Items that share a minimum with a window of the text."""
         found: set[int] = set()
+        if len(self.single):
+            for i in np.flatnonzero(np.isin(self.single, places)):
+                found.update(self.of_single[int(self.single[i])])
         if not self.maybe or not len(places):
             return found
         powers = sorted(self.maybe)
-        unit = 1 << powers[0]
+        near, far = [p for p in powers if p <= SEGMENT], [p for p in powers if p > SEGMENT]
+        unit, whole = 1 << (near[0] if near else SEGMENT), 1 << SEGMENT
+        # Segments overlap by the largest unit that they look at, so each window lies in one whole.
+        length, tops = 2 * whole, []
+        for at in range(0, len(places), length):
+            units = self._units(places[at : at + length + whole], unit)
+            self._look(units, unit, near, found)
+            if far:
+                tops.append(np.minimum.reduceat(units, np.arange(0, units.shape[1], whole // unit), axis=1)[:, :2])
+        if far:
+            self._look(np.concatenate(tops, axis=1), whole, far, found)
+        return found
+
+    @staticmethod
+    def _units(places: np.ndarray, unit: int) -> np.ndarray:
+        """The minima of each unit of a segment, a stretch at a time."""
         step = max(STRETCH // unit, 1) * unit
         stretches = [
             np.minimum.reduceat(permuted(part), np.arange(0, len(part), unit), axis=1)
             for part in (places[at : at + step] for at in range(0, len(places), step))
         ]
-        units = np.concatenate(stretches, axis=1)
+        return np.concatenate(stretches, axis=1)
+
+    def _look(self, units: np.ndarray, unit: int, powers: list[int], found: set[int]) -> None:
+        """Adds the items of these powers that share a minimum with a window of two units."""
         for power in powers:
             wider = (1 << power) // unit
             if wider > 1:
@@ -77,7 +108,6 @@ class ItemIndex:
             windows = np.minimum(units[:, :-1], units[:, 1:]) if units.shape[1] > 1 else units
             for f, w in zip(*np.nonzero(self.maybe[power][windows & LOW]), strict=True):
                 found.update(self.minima[power].get((int(f), int(windows[f, w])), ()))
-        return found
 
     def matches(self, text: bytes, min_percent: int) -> list[tuple[int, int, int]]:
         """(item id, its shingles, how many of them the text has) of each item contained."""

@@ -356,3 +356,26 @@ def test_pipeline_stages(spark, sf_dir):
         sizes.append(docs.count())
         assert name == "packing" or docs.columns == columns
     assert sizes[0] > sizes[1] > sizes[2] >= sizes[3] == sizes[4] <= sizes[5]
+
+
+def test_items_in_very_long_texts_with_bounded_memory():
+    """Short and long items at places around the segments' ends; one-shingle items by lookup."""
+    import tracemalloc
+
+    from payments_lake.llm.decontamination import ItemIndex
+
+    draw = random.Random(4)
+    words = [f"w{draw.randrange(40_000)}" for _ in range(420_000)]
+    spans = [(0, 4), (65_530, 5), (131_068, 8), (131_060, 40), (196_600, 300), (262_000, 5_000), (100_000, 140_000), (419_990, 10)]
+    items = [(k, " ".join(words[at : at + n]).encode()) for k, (at, n) in enumerate(spans)]
+    items += [(100 + k, " ".join(f"z{k}_{i}" for i in range(n)).encode()) for k, n in enumerate([3, 5, 6, 90])]
+    text = " ".join(words).encode()
+    index = ItemIndex(items)
+    tracemalloc.start()
+    found = {item: (size, shared) for item, size, shared in index.matches(text, 75)}
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # Item 0 has fewer than five words, so only a text of just these words has it.
+    assert set(found) == set(range(1, 8)) and all(size == shared for size, shared in found.values())
+    assert peak < 250e6
+    assert [i for i, _, _ in index.matches(items[0][1], 75)] == [0]
