@@ -7,6 +7,7 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import UTC, datetime
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -30,7 +31,6 @@ from payments_lake.operators.structure import (
     head_rows,
     profile_landed,
     profile_schema,
-    widths_of_landed,
 )
 from payments_lake.operators.time import profile_time_coverage
 from payments_lake.operators.types import profile_data_types
@@ -40,7 +40,7 @@ from payments_lake.operators.validation import (
     validate_gold,
     validate_silver,
 )
-from payments_lake.plans.readiness import readiness_summary
+from payments_lake.plans.readiness import readiness_from_reports
 from payments_lake.schema import ROW_HASH
 from payments_lake.session import configure
 from payments_lake.sources import (
@@ -258,10 +258,13 @@ def profile(spark: SparkSession, raw_path: str, out_dir: str, head: int | None =
         ),
         "dimensions": lambda: profile_dimensions(landed),
         "time_coverage": lambda: profile_time_coverage(landed),
-        "readiness": lambda: readiness_summary(landed, widths_of_landed(landed)),
     }
     for name, build in reports.items():
         write_table(build(), layout.report(name))
+    written = [read_table(spark, layout.report(name)) for name in reports]
+    write_table(
+        readiness_from_reports(reduce(DataFrame.unionByName, written)), layout.report("readiness")
+    )
 
 
 def create_samples(

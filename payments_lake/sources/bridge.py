@@ -2,7 +2,7 @@
 
 This is the test input of the library: it stands in for a raw file. Missing values, padding,
 accounting negatives and unreadable cells are injected by rule so that every operator has
-something to find. Money is built from whole cents, so no floating-point text enters a hash.
+something to find, and some rows repeat. Money is built from whole cents, so no floating-point text enters a hash.
 """
 
 from __future__ import annotations
@@ -41,6 +41,13 @@ _RETAINAGE = (
 CENTS = {"paid_c": _PAID, "pend_c": _PENDING, "enc_c": _ENCUMBRANCE, "ret_c": _RETAINAGE}
 
 
+# How often a row stands in the file; only the row id tells copies apart.
+COPIES = (
+    "case when l_linenumber = 5 and l_quantity = 17 then 3"
+    " when l_linenumber = 5 and l_quantity = 18 then 2 else 1 end"
+)
+
+
 def _money(cents: str) -> str:
     return (
         f"case when {cents} is null then null else concat("
@@ -65,8 +72,12 @@ EXPRESSIONS = dict(
     zip(
         RAW_COLUMNS,
         [
-            "cast(year(o_orderdate) + case when month(o_orderdate) >= 7 then 1 else 0 end"
-            " as string)",
+            "case when l_linenumber = 6 and l_quantity = 11 then 'FY02'"
+            " when l_linenumber = 6 and l_quantity = 12 then ' 1997.0 '"
+            " when l_linenumber = 6 and l_quantity = 13 then '19980'"
+            " when l_linenumber = 6 and l_quantity = 14 then null else"
+            " cast(year(o_orderdate) + case when month(o_orderdate) >= 7 then 1 else 0 end"
+            " as string) end",
             "case when n_nationkey % 5 = 0 then 'YES' else 'NO' end",
             "cast(r_regionkey as string)",
             "r_name",
@@ -98,6 +109,7 @@ EXPRESSIONS = dict(
             " when l_linenumber = 3 and l_tax = 0.01 then ' Direct Payments '"
             " else lpad(cast(l_orderkey as string), 10, '0') end",
             "case when l_linenumber = 5 then lower(s_name)"
+            " when l_linenumber = 6 and l_quantity = 15 then null"
             " when l_linenumber = 3 then concat('  ', s_name, ' ') else s_name end",
             _money("paid_c"),
             "case when l_linenumber = 7 and l_quantity = 2 then 'pending'"
@@ -107,6 +119,7 @@ EXPRESSIONS = dict(
             f"concat({_day('l_shipdate')},"
             " case when l_linestatus = 'F' then ' 02:32:12 PM' else ' 12:05:00 AM' end)",
             "case when l_linenumber = 4 and l_quantity = 14 then '1990/01/01 03:01:24 AM'"
+            " when l_linenumber = 6 and l_quantity = 16 then 'N/A'"
             " when l_linenumber = 1 then '2002/01/02 03:01:24 AM'"
             " else '2002/01/01 03:01:24 AM' end",
             "case when l_linestatus = 'F' and l_linenumber <= 2 then 'X'"
@@ -141,7 +154,7 @@ def joined_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Identity of a lineitem row, equal for identical rows only. Spelled without doubles, whose
+# Identity of a copy of a lineitem row, equal for identical rows only. Spelled without doubles, whose
 # text differs between engines.
 ROW_IDENTITY = (
     "md5(concat_ws('|', cast(l_orderkey as string), cast(l_linenumber as string),"
@@ -150,7 +163,7 @@ ROW_IDENTITY = (
     " cast(cast(round(l_extendedprice * 100) as bigint) as string),"
     " cast(cast(round(l_discount * 100) as bigint) as string),"
     " cast(cast(round(l_tax * 100) as bigint) as string),"
-    " l_returnflag, l_linestatus, cast(l_shipdate as string)))"
+    " l_returnflag, l_linestatus, cast(l_shipdate as string), cast(copy as string)))"
 )
 
 
@@ -159,7 +172,8 @@ def bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The tables have no file order, so the id is a hash of the lineitem row.
     """
-    cents = joined_tables(spark, sf_dir).select(
+    copies = F.sequence(F.lit(1), F.expr(COPIES))
+    cents = joined_tables(spark, sf_dir).withColumn("copy", F.explode(copies)).select(
         "*", *[F.expr(sql).alias(name) for name, sql in CENTS.items()]
     )
     return cents.select(

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from payments_lake.operators import dimensions, duplicates, gold, missing, rules, structure
 from payments_lake.operators import time as times
-from payments_lake.operators import validation
+from payments_lake.operators import report, types, validation
 from payments_lake.operators.sampling import simple_sample, stratified_sample
 from payments_lake.operators.silver import to_silver
-from payments_lake.plans.readiness import readiness_summary
+from payments_lake.plans.readiness import readiness_from_reports, readiness_summary
 from payments_lake.schema import (
     BUSINESS_KEY,
     CRITICAL,
@@ -23,7 +23,7 @@ from payments_lake.schema import (
     SILVER_SCHEMA,
     WARNING,
 )
-from payments_lake.sources import raw_table
+from payments_lake.sources import raw_table, read_silver, write_silver
 
 SUPPLIER = "Supplier & Other Non-Supplier Payees"
 
@@ -307,3 +307,68 @@ def test_schema_diff_and_types(ledger):
 def test_readiness_fails_on_missing_critical_values(ledger):
     rows = {r.check: r.status for r in readiness_summary(ledger({}, {"Purchase Order": None})).collect()}
     assert rows["missing_values"] == "FAIL" and rows["overall"] == "NOT_READY"
+
+
+def test_readiness_from_reports_equals_readiness_from_rows(ledger):
+    raw = ledger(
+        {}, {}, {"Purchase Order": None}, {"Fiscal Year": None}, {"Vouchers Paid": "(1.00)"},
+        {"Vouchers Paid": "$2,000,000.00"}, {"Department": " puc utilities"}, {"Purchase Order Date": "x"},
+    )
+    raw = raw.withColumn(ROW_ID, F.monotonically_increasing_id())
+    profiles = [
+        structure.profile_schema(raw), types.profile_data_types(raw), missing.profile_missing(raw),
+        rules.profile_business_rules(raw), duplicates.profile_duplicates(raw),
+        dimensions.profile_dimensions(raw), times.profile_time_coverage(raw),
+    ]
+    reports = readiness_from_reports(report.union_reports(profiles)).collect()
+    assert sorted(map(tuple, reports)) == sorted(map(tuple, readiness_summary(raw).collect()))
+
+
+def test_top_keys_break_ties_by_text_whatever_their_digest(ledger):
+    orders = [f"{i:04d}" for i in range(30) for _ in range(2)] + ["0029", "0028"]
+    rows = duplicates.top_duplicate_keys(ledger(*[{"Purchase Order": o} for o in orders]), k=4)
+    first = [(r.rank, r.key, r.records) for r in rows.collect() if r.key_name == "purchase_order"]
+    assert sorted(first) == [(1, "0028", 3), (2, "0029", 3), (3, "0000", 2), (4, "0001", 2)]
+    assert duplicates.top_duplicate_keys(ledger({})).count() == 0
+
+
+def test_time_profile_scans_once(spark, ledger, scratch):
+    ledger({}, {"Purchase Order Date": None}).write.parquet(f"{scratch}/raw")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        profile = times.profile_time_coverage(spark.read.parquet(f"{scratch}/raw"))
+        plan = profile._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert plan.count("FileScan parquet") == 1
+
+
+def test_time_profile_of_no_rows(ledger):
+    rows = times.profile_time_coverage(ledger({}).limit(0)).collect()
+    assert {(r.metric, r.value) for r in rows if r.metric == "total_rows"} == {("total_rows", "0")}
+
+
+def test_sample_values_unfold_few_blocks(spark, ledger):
+    raw = ledger({}).drop("Department").crossJoin(spark.range(200_000)).select(
+        "*",
+        F.when(F.col("id") % 70_000 == 69_999, F.concat(F.lit("D"), "id")).alias("Department"),
+        F.col("id").alias(ROW_ID),
+    ).drop("id")
+    rows = structure.sample_values(raw, k=2).filter("column_name = 'Department'").collect()
+    assert sorted((r.position, r.value) for r in rows) == [(1, "D69999"), (2, "D139999")]
+
+
+def test_silver_of_one_large_year_is_cut_without_adaptive_execution(spark, ledger, scratch):
+    raw = ledger({}).drop("Fiscal Year").crossJoin(spark.range(5_000)).select(
+        "*",
+        F.when(F.col("id") % 10 > 0, "2019").when(F.col("id") % 20 > 0, "2020").alias("Fiscal Year"),
+    ).select(*RAW_COLUMNS, F.lit(0).alias(ROW_ID))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        write_silver(to_silver(raw), f"{scratch}/silver", rows_per_file=500)
+        silver = read_silver(spark, f"{scratch}/silver")
+        files = silver.groupBy("fiscal_year", F.input_file_name().alias("file")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    per_year = {y: sorted(r["count"] for r in files if r.fiscal_year == y) for y in (2019, 2020, None)}
+    assert per_year == {2019: [500] * 9, 2020: [250], None: [250]}

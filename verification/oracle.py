@@ -32,7 +32,7 @@ from payments_lake.schema import (
     SUPPLIER,
     WARNING,
 )
-from payments_lake.sources.bridge import CENTS, EXPRESSIONS, ROW_IDENTITY
+from payments_lake.sources.bridge import CENTS, COPIES, EXPRESSIONS, ROW_IDENTITY
 
 
 def _duck(sql: str) -> str:
@@ -106,8 +106,8 @@ def total(c: str) -> str:
     return f"cast(coalesce(sum(cast({c} as decimal(24,6))), 0) as double)"
 
 
-_BASE = """base as (
-  select * from lineitem
+_BASE = f"""base as (
+  select *, unnest(range(1, {COPIES} + 1)) as copy from lineitem
   join supplier on l_suppkey = s_suppkey
   join nation on s_nationkey = n_nationkey
   join region on n_regionkey = r_regionkey
@@ -409,6 +409,11 @@ ORACLE["null_counts"] = over(
 ORACLE["critical_missing_rows"] = over("raw", missing_rows(CRITICAL))
 ORACLE["warning_missing_rows"] = over("raw", missing_rows(WARNING))
 _WARNING_EXAMPLE = [FISCAL_YEAR, PURCHASE_ORDER, DEPARTMENT, PO_DATE, "Encumbrance Balance"]
+ORACLE["critical_examples"] = over(
+    "raw",
+    f"select _row_id as row_id, {renamed(CRITICAL)} from raw where {any_null(CRITICAL)} "
+    "order by _row_id limit 10",
+)
 ORACLE["missing_examples"] = over(
     "raw",
     f"select _row_id as row_id, {renamed(_WARNING_EXAMPLE)} from raw "
@@ -964,6 +969,14 @@ for _f in FLAGS:
         report("silver_output", _f, "true_pct", pct_text(_hit, "count(*)"), "silver"),
     ]
 ORACLE["validate_silver"] = over("stored", union(_rows))
+_DROPPED = ["department", "po_month"]
+ORACLE["validate_silver_incomplete"] = over(
+    "stored",
+    "select \"check\", column_name, metric, case metric when 'status' then 'PASS_WITH_WARNINGS' "
+    f"when 'column_count' then '{49 - len(_DROPPED)}' when 'missing_required_columns' then "
+    f"'{', '.join(c for c in REQUIRED_SILVER_COLUMNS if c in _DROPPED)}' else value end as value "
+    f"from ({union(_rows)}) where column_name not in ('{"', '".join(_DROPPED)}')",
+)
 ORACLE["mart_metric_summary"] = over(
     "stored",
     union(
@@ -989,6 +1002,32 @@ ORACLE["validate_gold"] = over(
     *_MART_CTES,
 )
 
+_ABSENT, _EMPTY, _NARROW = list(_MART_BODIES)[:3]
+
+
+def _failing_mart(name: str, keys: list[str]) -> str:
+    exists, rows, columns, lacks, status = "true", "count(*)", len(keys) + 9, "", "PASS"
+    if name == _ABSENT:
+        exists, rows, columns, status = "false", "0", 0, "FAIL: file does not exist"
+    elif name == _EMPTY:
+        rows, status = "0", "FAIL: no rows"
+    elif name == _NARROW:
+        columns, lacks, status = columns - 1, "record_count", "FAIL: missing required columns"
+    return (
+        f"select '{name}' as mart, {exists} as mart_exists, {rows} as row_count, "
+        f"{columns} as column_count, '{lacks}' as missing_columns, '{status}' as status from {name}"
+        + (" limit 1" if rows == "0" else "")
+    )
+
+
+ORACLE["validate_gold_failing"] = over(
+    "stored",
+    " union all ".join(
+        f"select * from ({_failing_mart(name, keys)})" for name, (keys, _) in _MART_BODIES.items()
+    ),
+    *_MART_CTES,
+)
+
 # --- record texts -----------------------------------------------------------------------------
 
 
@@ -1031,19 +1070,21 @@ _rows += [
     ),
 ]
 ORACLE["profile_file_structure"] = over("cells", union(_rows), _WIDTHS, _BAD)
+_READ_CELLS = ", ".join(
+    (
+        f"case when {_SHORT} then null else {nullified(q(c))} end as {RAW_TO_SILVER[c]}"
+        if c in RAW_COLUMNS[-2:]
+        else f"{nullified(q(c))} as {RAW_TO_SILVER[c]}"
+    )
+    for c in RAW_COLUMNS
+)
+ORACLE["parse_records"] = over("cells", f"select _row_id as row_id, {_READ_CELLS} from cells")
 ORACLE["raw_scan"] = over(
     "cells",
-    "select row_id, "
-    + ", ".join(
-        (
-            f"case when {_SHORT} then null else {nullified(q(c))} end as {RAW_TO_SILVER[c]}"
-            if c in RAW_COLUMNS[-2:]
-            else f"{nullified(q(c))} as {RAW_TO_SILVER[c]}"
-        )
-        for c in RAW_COLUMNS
-    )
-    + " from (select *, _row_id as row_id from cells)",
+    f"select {_READ_CELLS}, case when {_SHORT} then 31 when {_LONG} then 34 else 33 end as width "
+    "from cells",
 )
+ORACLE["landed_widths"] = ORACLE["row_width_histogram"]
 
 # --- schema -----------------------------------------------------------------------------------
 
@@ -1117,8 +1158,9 @@ ORACLE["stratified_sample"] = over(
 )
 ORACLE["silver_stream_sample"] = over(
     "silver",
-    f"select {shown(SILVER_COLUMNS)} from silver where source_row_hash in "
-    "(select source_row_hash from picked)",
+    f"select {shown(SILVER_COLUMNS)} from (select *, row_number() over (partition by "
+    "source_row_hash) as nth from silver) join (select source_row_hash, count(*) as n from picked "
+    "group by 1) using (source_row_hash) where nth <= n",  # copies are alike
     _SIMPLE,
 )
 
@@ -1159,7 +1201,7 @@ _FOUND = (
     "cast(warnings as bigint) as warnings from findings union all "
     "select 'overall', cast(sum(failures) as bigint), cast(sum(warnings) as bigint) from findings)"
 )
-ORACLE["readiness_summary"] = over(
+ORACLE["readiness_summary"] = ORACLE["readiness_from_reports"] = over(
     "hashed",
     "select \"check\", case when \"check\" = 'overall' then case when failures > 0 then "
     "'NOT_READY' when warnings > 0 then 'READY_WITH_WARNINGS' else 'READY' end "

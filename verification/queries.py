@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,7 +25,7 @@ from payments_lake.operators import time as times
 from payments_lake.operators import types, validation
 from payments_lake.operators.sampling import stratified_sample
 from payments_lake.operators.silver import quality_flags, silver_projection, to_silver
-from payments_lake.plans.readiness import readiness_summary
+from payments_lake.plans.readiness import readiness_from_reports, readiness_summary
 from payments_lake.schema import (
     AMOUNTS,
     AS_OF,
@@ -40,10 +42,11 @@ from payments_lake.schema import (
     RAW_TO_SILVER,
     ROW_HASH,
     ROW_ID,
+    WIDTH,
 )
 from payments_lake.session import configure
 from payments_lake.sources.bridge import bridge, raw_table
-from payments_lake.sources.raw_csv import file_sizes, parse_records
+from payments_lake.sources.raw_csv import file_sizes, land_raw, parse_records
 from payments_lake.streaming import silver_stream_sample, stream_sample
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -170,6 +173,81 @@ def readiness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readiness_summary(raw, structure.widths_of_records(record_texts(spark, sf_dir)))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below ``spark.checkpoint.dir``; a local one only where all runs in one process."""
+    key = "spark.checkpoint.dir"
+    root = spark.sparkContext.getConf().get(key) or spark.conf.get(key, None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{key} must name a folder that all machines share")
+        root = "file://" + tempfile.mkdtemp(prefix="ledger-")
+    return f"{root.rstrip('/')}/ledger-{uuid.uuid4().hex}"
+
+
+def readiness_of_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger and the reports of its profiles as tables, and readiness from the reports alone."""
+    folder = shared_folder(configure(spark))
+    raw_table(spark, sf_dir).write.parquet(f"{folder}/raw")
+    raw = spark.read.parquet(f"{folder}/raw")
+    widths = structure.widths_of_records(record_texts(spark, sf_dir))
+    profiles = [
+        structure.profile_file_structure(widths),
+        structure.profile_schema(raw),
+        types.profile_data_types(raw),
+        missing.profile_missing(raw),
+        rules.profile_business_rules(raw),
+        duplicates.profile_duplicates(raw),
+        dimensions.profile_dimensions(raw),
+        times.profile_time_coverage(raw),
+    ]
+    for i, profile in enumerate(profiles):
+        profile.write.parquet(f"{folder}/reports/{i}")
+    reports = [spark.read.parquet(f"{folder}/reports/{i}") for i in range(len(profiles))]
+    return readiness_from_reports(missing.union_reports(reports))
+
+
+def landed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger written as CSV files of unequal size with a header each, and landed from them.
+
+    The number of files grows with the rows. Headers sort first within their file.
+    """
+    records = record_texts(spark, sf_dir)
+    files = max(7, spark.read.parquet(f"{sf_dir}/lineitem.parquet").count() // 100_000)
+    share = F.pmod(F.xxhash64("row_id"), F.lit(10_000)) / 10_000
+    lines = records.select(
+        F.floor(share * share * files).alias("file"), F.lit(1).alias("place"), "record"
+    )
+    header = ",".join(f'"{name}"' for name in RAW_COLUMNS)
+    headers = spark.range(files).select(
+        F.col("id").alias("file"), F.lit(0).alias("place"), F.lit(header).alias("record")
+    )
+    folder = shared_folder(spark)
+    (
+        lines.unionByName(headers)
+        .repartition(files, "file")
+        .sortWithinPartitions("file", "place")
+        .select("file", "record")
+        .write.partitionBy("file")
+        .text(f"{folder}/raw")
+    )
+    return land_raw(spark, f"{folder}/raw/file=*", f"{folder}/landed", strict=False)
+
+
+def scanned_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landed = landed_files(configure(spark), sf_dir)
+    return with_silver_names(landed.select(*RAW_COLUMNS, F.col(WIDTH).alias("width")))
+
+
+def failing_marts(silver: DataFrame) -> DataFrame:
+    """Validation of marts of which one is absent, one empty, and one lacks a column."""
+    built = marts(silver)
+    absent, empty, narrow = list(built)[:3]
+    del built[absent]
+    built[empty] = built[empty].filter(F.lit(False))
+    built[narrow] = built[narrow].drop("record_count")
+    return validation.validate_gold(built)
+
+
 def lineitem_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return file_sizes(spark, f"{sf_dir}/lineitem.parquet").select(
         F.regexp_extract("file_path", "[^/]+$", 0).alias("file_name"), "file_bytes", "file_mb"
@@ -236,6 +314,7 @@ QUERIES: dict[str, Query] = {
     "critical_missing_rows": on_raw(missing.critical_missing_rows),
     "warning_missing_rows": on_raw(missing.warning_missing_rows),
     "missing_examples": on_raw(missing.warning_examples),
+    "critical_examples": on_raw(missing.critical_examples),
     "parse_failures": on_raw(types.parse_failures),
     "column_ranges": on_raw(types.column_ranges),
     "profile_missing": on_raw(missing.profile_missing),
@@ -275,8 +354,13 @@ QUERIES: dict[str, Query] = {
     "mart_metric_summary": on_silver(
         lambda silver: validation.mart_metric_summary(marts(silver))
     ),
+    "validate_silver_incomplete": on_silver(
+        lambda silver: validation.validate_silver(silver.drop("department", "po_month"))
+    ),
+    "validate_gold_failing": on_silver(failing_marts),
     "validate_gold": on_silver(lambda silver: validation.validate_gold(marts(silver))),
     "readiness_summary": readiness,
+    "readiness_from_reports": readiness_of_reports,
     # sampling
     "stratified_sample": on_raw(
         lambda raw: with_silver_names(stratified_sample(raw, strict=False))
@@ -284,7 +368,11 @@ QUERIES: dict[str, Query] = {
     "simple_sample": on_raw(lambda raw: with_silver_names(stream_sample(raw, n=1000))),
     "silver_stream_sample": on_raw(lambda raw: silver_stream_sample(raw, n=1000)),
     # schema and files
-    "raw_scan": parsed_records,
+    "parse_records": parsed_records,
+    "raw_scan": scanned_cells,
+    "landed_widths": lambda spark, sf_dir: structure.row_width_histogram(
+        structure.widths_of_landed(landed_files(configure(spark), sf_dir))
+    ),
     "type_profile": on_raw(structure.type_profile),
     "sample_values": on_raw(structure.sample_values),
     "profile_schema": on_raw(structure.profile_schema),
