@@ -284,14 +284,18 @@ def keep_good(documents: DataFrame, labels: DataFrame, stratum: str = "lang") ->
     """The documents, with all their columns, that :func:`quality_rules` keeps.
 
     The cutoffs come from the narrow table; texts are then measured again where they lie, which
-    costs less than moving them to a join and judges every row by its own text.
+    costs less than moving them to a join and judges every row by its own text. The signals of this
+    pass are unfolded from an array of one, so that the filter reads them instead of being pushed
+    below with a second copy of their expressions. Null and empty texts fail the base rules and go,
+    a very long text is measured as a whole, of repeated rows all or none stay, an empty table gives
+    no rows, and further columns may have any names.
     """
     base = documents.select("doc_id", "text", F.col(stratum).alias("stratum_value"))
-    measured = written(
-        signals(base).select("doc_id", "stratum_value", "n_words", "n_repeat_words", *RATIOS), "signals"
-    )
+    names = ("stratum_value", "n_words", "n_repeat_words", *RATIOS)
+    measured = written(signals(base).select("doc_id", *names), "signals")
     cutoffs = written(certified_cutoffs(measured, labels, "stratum_value"), "cutoffs")
     whole = documents.select(F.struct("*").alias("document")).select(
         "document", F.col("document.text").alias("text"), F.col(f"document.{stratum}").alias("stratum_value")
     )
-    return judged(signals(whole), cutoffs, "stratum_value").filter("kept").select("document.*")
+    own = signals(whole).select("document", F.inline(F.array(F.struct(*names))))
+    return judged(own, cutoffs, "stratum_value").filter("kept").select("document.*")
