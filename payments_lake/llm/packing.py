@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from collections import deque
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -17,7 +18,7 @@ from payments_lake.llm.pieces import PieceCache, is_word
 from payments_lake.llm.token_counts import byte_letters
 
 SEQUENCE = 1024
-# A task refills its partly filled windows once it has this many, which bounds its memory.
+# A task closes its partly filled windows once it has this many, which bounds its memory.
 MOST_OPEN = 2048
 SCHEMA = (
     "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
@@ -69,15 +70,17 @@ class Packer:
     """Packs the documents of one task; pieces leave as soon as their window is full.
 
     Documents are cut into full windows and a rest, which is placed by :class:`SumOfSquares`. When
-    too many windows are open, and at the end, open windows are refilled: their pieces are laid end
-    to end and cut at the capacity. What then remains is cut into windows whose sizes are powers of
-    two, so it needs no padding either.
+    too many windows are open, and at the end, they are closed: open windows join whole where they
+    fit, the fullest first, and stand. Only the emptiest are torn, as many as the gaps of the others
+    ask for. What then remains is cut into windows whose sizes are powers of two, so it needs no
+    padding either. ``rests`` counts the ids placed by level, ``torn`` those whose place was undone.
     """
 
     def __init__(self, first_sequence: int, capacity: int = SEQUENCE, most_open: int = MOST_OPEN) -> None:
         self.capacity, self.most_open = capacity, most_open
         self.sequence = first_sequence
         self.rows: list[tuple] = []
+        self.rests = self.torn = 0
         self._renew()
 
     def _renew(self) -> None:
@@ -90,6 +93,7 @@ class Packer:
         for start in range(0, whole, self.capacity):
             self._emit([(doc, start, ids[start : start + self.capacity], total)])
         if whole < total:
+            self.rests += total - whole
             window, offset = self.placing.place(total - whole)
             held = self.held.setdefault(window, [])
             held.append((doc, whole, ids[whole:].copy(), total))
@@ -99,24 +103,44 @@ class Packer:
                 self.refill()
 
     def refill(self) -> None:
-        pieces = [piece for window in self.held.values() for piece in window]
+        """Closes all open windows."""
+        windows = self._joined()
         self._renew()
-        left = sum(len(ids) for _, _, ids, _ in pieces)
-        size, window, filled = self._next_size(left), [], 0
-        for doc, start, ids, total in pieces:
-            while len(ids):
-                part = ids[: size - filled]
-                window.append((doc, start, part, total))
-                start, ids = start + len(part), ids[len(part) :]
-                filled += len(part)
-                left -= len(part)
-                if filled == size:
-                    self._emit(window)
-                    size, window, filled = self._next_size(left), [], 0
-
-    def _next_size(self, left: int) -> int:
-        """The capacity, or the largest power of two that can still be filled."""
-        return self.capacity if left >= self.capacity else 1 << max(left.bit_length() - 1, 0)
+        full, left = divmod(sum(fill for fill, _ in windows), self.capacity)
+        loose = deque(piece for _, window in windows[full:] for piece in window)
+        self.torn += sum(len(ids) for _, _, ids, _ in loose)
+        for fill, window in windows[:full]:
+            self._fill(window, self.capacity - fill, loose)
+            self._emit(window)
+        while left:
+            size, window = 1 << (left.bit_length() - 1), []
+            self._fill(window, size, loose)
+            self._emit(window)
+            left -= size
+
+    def _joined(self) -> list[tuple[int, list[tuple]]]:
+        """The open windows, joined by best fit from the fullest on, with their fills, fullest first."""
+        levels: list[list[list[tuple]]] = [[] for _ in range(self.capacity + 1)]
+        for window in self.held.values():
+            levels[sum(len(ids) for _, _, ids, _ in window)].append(window)
+        joined = []
+        for level in range(self.capacity, 0, -1):
+            while levels[level]:
+                window, fill = levels[level].pop(), level
+                while fit := next((f for f in range(self.capacity - fill, 0, -1) if levels[f]), 0):
+                    window += levels[fit].pop()
+                    fill += fit
+                joined.append((fill, window))
+        return sorted(joined, key=lambda w: -w[0])
+
+    @staticmethod
+    def _fill(window: list[tuple], room: int, loose: deque[tuple]) -> None:
+        while room:
+            doc, start, ids, total = loose.popleft()
+            window.append((doc, start, ids[:room], total))
+            if len(ids) > room:
+                loose.appendleft((doc, start + room, ids[room:], total))
+            room -= min(room, len(ids))
 
     def _emit(self, window: list[tuple]) -> None:
         offset = 0
