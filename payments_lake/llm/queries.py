@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from payments_lake.llm.centroid_clusters import clustered
 from payments_lake.llm.common import table, with_package
-from payments_lake.llm.cross_entropy import cross_entropy_difference
 from payments_lake.llm.decontamination import contained_items
 from payments_lake.llm.jaccard_join import linked_components
 from payments_lake.llm.license_scan import scanned
@@ -21,6 +20,7 @@ from payments_lake.llm.secret_scan import scan
 from payments_lake.llm.token_counts import token_counts
 from payments_lake.llm.toxicity import toxicity
 from payments_lake.llm.warc import archived_pages
+from payments_lake.llm.whole_model import whole_difference
 from payments_lake.llm.wrapper_induction import main_texts
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -29,20 +29,24 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page written as a WARC record and read back in chunks."""
     return archived_pages(table(spark, sf_dir, "pages"))
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices and base phrases of each document."""
     return scanned(table(spark, sf_dir, "documents"))
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of each document by the 50,000-entry byte vocabulary."""
     return token_counts(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
     )
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base signals and verdict of each document."""
     judged = quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -51,29 +55,34 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of each document at a similarity of three quarters."""
     return linked_components(table(spark, sf_dir, "documents"))
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of sequences of 1,024 tokens."""
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score for each document, learned from labels that aren't held out."""
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base secrets and all spans of each document."""
     return scan(table(spark, sf_dir, "documents"))
 
 
 def op9_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations are the target domain."""
-    return cross_entropy_difference(
+    return whole_difference(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "conversations")
     )
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items of which a document has three quarters of the shingles."""
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 

@@ -16,7 +16,7 @@ from payments_lake.llm.common import text_or_empty
 from payments_lake.llm.pieces import MOST_CACHED, PieceCache
 
 # White space and the words of the vocabulary's splitting rule.
-WHITE = r"\t-\r \x85\xa0  -     　"
+WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPLIT = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
     rf"| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"

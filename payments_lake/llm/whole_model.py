@@ -1,4 +1,6 @@
-"""Counts of all words and word pairs of two tables, looked up for each document.
+"""Cross-entropy difference: n-gram models of a target and a background over one vocabulary.
+
+All words and word pairs of both tables are counted and looked up for each document.
 
 Documents are dealt into stretches of a few MB. A stretch sends its distinct n-grams, each once, to
 parts by hash; a part adds them up over all stretches and sends each stretch the counts of what it
@@ -8,6 +10,7 @@ holds a model.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +39,7 @@ _LOWER = np.arange(256)
 _LOWER[65:91] += 32
 BYTE_VALUES = mixed(_LOWER.astype(np.uint64) + np.uint64(1))
 IS_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+SPACE_AT = re.compile(rb"[\t-\r ]")
 RADIX = FACTORS[0]
 INVERSE = np.uint64(pow(int(RADIX), -1, 1 << 64))
 
@@ -58,21 +62,40 @@ class _Powers:
         return cls.up, cls.down
 
 
+def _pieces(text: bytes) -> Iterator[bytes]:
+    """The text in pieces of about ``CHUNK`` bytes; no word is cut."""
+    at = 0
+    while len(text) - at > CHUNK and (space := SPACE_AT.search(text, at + CHUNK)):
+        yield text[at : space.start()]
+        at = space.start()
+    yield text[at:]
+
+
 def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words (no ASCII white space, A to Z lower-cased) of all texts in order, and
-    how many words each text has."""
-    hashes, sizes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    how many words each text has. Long texts are hashed piece by piece, so what is kept for it
+    grows with the longest word only."""
+    hashes, sizes = [np.empty(0, np.uint64)], np.zeros(len(texts), np.int64)
     held: list[bytes] = []
+    owners: list[int] = []
     total = 0
     for i, text in enumerate(texts):
-        held.append(text)
-        total += len(text) + 1
-        if total >= CHUNK or i == len(texts) - 1:
-            own, counts = _hashed(held)
-            hashes.append(own)
-            sizes.append(counts)
-            held, total = [], 0
-    return np.concatenate(hashes), np.concatenate(sizes)
+        for piece in _pieces(text):
+            held.append(piece)
+            owners.append(i)
+            total += len(piece) + 1
+            if total >= CHUNK:
+                hashes.append(_counted(held, owners, sizes))
+                held, owners, total = [], [], 0
+    if held:
+        hashes.append(_counted(held, owners, sizes))
+    return np.concatenate(hashes), sizes
+
+
+def _counted(texts: list[bytes], owners: list[int], sizes: np.ndarray) -> np.ndarray:
+    hashes, counts = _hashed(texts)
+    np.add.at(sizes, owners, counts)
+    return hashes
 
 
 def _hashed(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -277,8 +300,18 @@ def _answered(blocks: DataFrame) -> DataFrame:
 def whole_difference(
     documents: DataFrame, target: DataFrame, parts: int | None = None, stretch: int = STRETCH
 ) -> DataFrame:
-    """Losses and scores as in :func:`cross_entropy.cross_entropy_difference`, from the counts of
-    every word and every word pair of both tables. ``parts`` and ``stretch`` don't change results."""
+    """Per row: doc_id, n_words, target_loss, background_loss and score, their difference.
+
+    ``target`` (text) is the domain wanted, the documents are the background. Losses are in nats
+    per word; a negative score says that a document is more like the target. Both models count
+    every word and word pair of whole texts of whole tables, over all words of both tables; a
+    document's own counts are taken out of the background. ``parts`` and ``stretch`` don't change
+    results.
+
+    Null and empty texts have zero words, losses and score; repeated rows count and are scored
+    each; a very long text is a stretch of its own; with an empty target its model is uniform; an
+    empty table gives no rows; other columns are ignored.
+    """
     dealt = _dealt(documents, stretch)
     wanted = target.select(text_or_empty("text").cast("binary").alias("text"))
     if parts is None:

@@ -14,7 +14,7 @@ import pytest
 from llm_frames import AWKWARD, LONG, documents
 from pyspark.sql import functions as F
 
-from payments_lake.llm import cross_entropy, toxicity, warc, whole_model
+from payments_lake.llm import toxicity, warc, whole_model
 from payments_lake.llm.common import shared_folder, written
 from payments_lake.llm.components import components
 from payments_lake.llm.decontamination import contained_items, decontaminated
@@ -223,32 +223,15 @@ def test_contained_items_equal_brute_force(spark):
     assert contained_items(frame, benchmark.filter("false")).count() == 0
 
 
-def test_cross_entropy_equals_brute_force(spark):
-    texts = [*AWKWARD, "a b a c", "c c c d", "x y z"]
-    target = spark.createDataFrame([("a b a b",), (None,), ("b a",)], "text string")
-    size, classes = 40, 30
-    out = {r.doc_id: r for r in cross_entropy.cross_entropy_difference(documents(spark, texts), target, size, classes).collect()}
-    assert all(r.score == pytest.approx(r.target_loss - r.background_loss) for r in out.values())
-    assert (out[0].n_words, out[0].target_loss, out[0].score) == (0, 0.0, 0.0)
-    assert out[len(AWKWARD)].score < out[len(AWKWARD) + 1].score
-    # The background without the text's own counts is the model of all other texts.
-    lexicon = cross_entropy.Lexicon(np.array([3, 1, 2], np.uint64), 2)
-    model = cross_entropy.Model(np.array([5, 4, 3, 2]), np.array([4, 3, 2, 1]), 2, 1.0)
-    ids = np.array([0, 1, 1, 2])
-    cells = lexicon.pairs(ids)
-    rest_words = np.array([5, 4, 3, 2]) - np.bincount(ids, minlength=4)
-    rest_cells = np.array([4, 3, 2, 1]) - np.bincount(cells, minlength=4)
-    rest = cross_entropy.Model(rest_words, rest_cells, 2, 1.0)
-    assert model.loss(ids, cells, True) == pytest.approx(rest.loss(ids, cells, False))
-    assert cross_entropy.cross_entropy_difference(documents(spark, []), target.filter("false")).count() == 0
-
-
-def test_model_counts_cover_all_words(spark):
-    texts = spark.createDataFrame([(b"a b a", False), (b"b c", False), (b"a", True)], "text binary, is_target boolean")
-    lexicon = cross_entropy.Lexicon(cross_entropy.vocabulary(texts, 3), 2)
-    words, pairs = cross_entropy.model_counts(texts, lexicon)
-    assert words.sum(axis=1).tolist() == [5, 1] and pairs.sum(axis=1).tolist() == [5, 1]
-    assert words[0].tolist() == [1, 2, 2]  # unknown, a, b
+@pytest.mark.parametrize("chunk", [1, 7, 200])
+def test_long_texts_are_hashed_in_pieces(monkeypatch, chunk):
+    texts = [(t or "").encode() for t in [*AWKWARD, " lead and trail \n", "x" * 500, "x y\x0bz\x1c " * 40]]
+    hashes, sizes = whole_model.hashed_words(texts)
+    assert sizes.tolist() == [len(t.split()) for t in texts]
+    monkeypatch.setattr(whole_model, "CHUNK", chunk)
+    again, same = whole_model.hashed_words(texts)
+    assert again.tolist() == hashes.tolist() and same.tolist() == sizes.tolist()
+    assert [len(x) for x in whole_model.hashed_words([])] == [0, 0]
 
 
 def brute_difference(texts, target):
@@ -284,14 +267,14 @@ def brute_difference(texts, target):
 
 @pytest.mark.parametrize("parts, stretch", [(None, None), (7, 60), (1, 1)])
 def test_whole_cross_entropy_equals_brute_force(spark, parts, stretch):
-    """More words than the bounded model keeps in classes: rare pairs count like all others."""
+    """Rare words and pairs count like all others."""
     draw = random.Random(11)
     rare = [f"R{draw.randrange(3000)}" for _ in range(4000)]
     texts = [*AWKWARD, "a b a c", "c c c d", " x\x0by z\x1c ", "x y", *(" ".join(rare[i : i + 80]) for i in range(0, 4000, 80))]
     target = ["a b a b", None, "b a", " ".join(rare[40:700]), "", LONG]
     frame = spark.createDataFrame([(t,) for t in target], "text string")
     if parts is None:
-        found = cross_entropy.cross_entropy_difference(documents(spark, texts), frame)
+        found = whole_model.whole_difference(documents(spark, texts), frame)
     else:
         found = whole_model.whole_difference(documents(spark, texts), frame, parts, stretch)
     out = {r.doc_id: r for r in found.collect()}
@@ -305,10 +288,10 @@ def test_whole_cross_entropy_equals_brute_force(spark, parts, stretch):
 
 def test_whole_cross_entropy_of_empty_tables(spark):
     target = spark.createDataFrame([("a b",)], "text string")
-    assert cross_entropy.cross_entropy_difference(documents(spark, []), target.filter("false")).count() == 0
+    assert whole_model.whole_difference(documents(spark, []), target.filter("false")).count() == 0
     texts = ["a b", None, "a"]
     for wanted, rows in (([], target.filter("false")), (["a b"], target)):
-        out = {r.doc_id: r for r in cross_entropy.cross_entropy_difference(documents(spark, texts), rows).collect()}
+        out = {r.doc_id: r for r in whole_model.whole_difference(documents(spark, texts), rows).collect()}
         for i, (_, loss, background) in enumerate(brute_difference(texts, wanted)):
             assert (out[i].target_loss, out[i].background_loss) == pytest.approx((loss, background), rel=1e-9)
 
