@@ -77,8 +77,15 @@ def stratified_sample(
         .groupBy(STRATUM)
         .agg(F.sum("rows").alias("total"), F.max(needed).alias("last_slice"))
     )
-    # One row per stratum: Spark sends it to all tasks while it is small, and joins it otherwise.
-    candidates = keyed.join(strata.drop("total"), STRATUM).filter(F.col(SLICE) <= F.col("last_slice"))
+    # One row per stratum. Its size is unknown when the join is planned, so that without the hint all
+    # rows would be dealt out by year, a dozen values. The last slice of all is a filter that reaches
+    # below the projection of the cells.
+    furthest = strata.agg(F.max("last_slice")).scalar()
+    candidates = (
+        keyed.filter(F.col(SLICE) <= furthest)
+        .join(F.broadcast(strata.drop("total")), STRATUM)
+        .filter(F.col(SLICE) <= F.col("last_slice"))
+    )
     if strict:
         smallest = strata.agg(F.min("total")).scalar()
         enough = F.when(

@@ -372,3 +372,32 @@ def test_silver_of_one_large_year_is_cut_without_adaptive_execution(spark, ledge
         spark.conf.unset("spark.sql.adaptive.enabled")
     per_year = {y: sorted(r["count"] for r in files if r.fiscal_year == y) for y in (2019, 2020, None)}
     assert per_year == {2019: [500] * 9, 2020: [250], None: [250]}
+
+
+def test_sample_deals_no_cells_out_by_year(spark, ledger):
+    """At size the strata's extent is unknown to the planner; rows must not be joined by a shuffle."""
+    raw = ledger(*[{"Fiscal Year": str(2010 + i % 3), "Purchase Order": f"{i:04d}"} for i in range(90)])
+    raw = raw.withColumn("_row_id", F.col("Purchase Order"))
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        sample = stratified_sample(raw, 20, strict=False)
+        plan = sample._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+        assert Counter(r["Fiscal Year"] for r in sample.collect()) == {"2010": 20, "2011": 20, "2012": 20}
+    finally:
+        spark.conf.set(limit, before)
+
+
+def test_type_counts_of_odd_cells(ledger):
+    """What the first byte decides agrees with the whole pattern."""
+    cells = [
+        "12", " 12 ", "+3", "-4.5", ".5", "inf", "-Infinity", "Inf", " 7", "A1", "Word", "infinite",
+        "2018/8/ 7", "2018/08/07", "2018/08/07 02:32:12 PM", " 2018/08/07", "TRUE", "false", " true", "truth", None,
+    ]
+    raw = ledger(*[{"Program": cell} for cell in cells])
+    row = next(r for r in structure.type_profile(raw).collect() if r.column_name == "Program")
+    assert row.total_rows == 21 and row.non_null_count == 20
+    assert (row.integer_count, row.number_count, row.boolean_count) == (3, 9, 2)
+    assert (row.date_count, row.timestamp_count) == (2, 1)
