@@ -162,3 +162,14 @@ def test_exact_total_keeps_every_digit_in_any_order(spark):
     assert total([0.1] * 10 + [-0.1] * 10) == 0.0
     assert total([INF, 1.0]) == INF
     assert total([None, None]) == 0.0
+
+
+def test_long_money_and_usual_years(spark):
+    """Texts on either side of the lengths that the short ways take."""
+    nines = "9" * 299
+    check(spark, clean_numeric, [(nines, float(nines)), ("9" * 309, None), ("(" + "9" * 309 + ")", None)])
+    check(
+        spark,
+        fiscal_year,
+        [("2019", 2019), ("000000000002019", 2019), ("0000000000002019", 2019), (" 2019 ", 2019), ("2019\n", 2019)],
+    )
