@@ -2,8 +2,24 @@
 
 from pathlib import Path
 
+import pytest
+
+from payments_lake.sources.bridge import joined_tables
 from verification import queries as q
 
+ONCE = [
+    "gold_marts_from_base",
+    "gold_marts_from_sketches",
+    "mart_metric_summary",
+    "profile_file_structure",
+]
+
+
+@pytest.mark.parametrize("name", ONCE)
+def test_passes_read_a_stored_table(spark, sf_dir, name):
+    files = q.QUERIES[name](spark, sf_dir).inputFiles()
+    assert files and not any("lineitem" in file for file in files)
+
 
 def test_raw_files_are_compressed_and_of_bounded_size(spark, sf_dir, scratch, monkeypatch):
     monkeypatch.setattr(q, "shared_folder", lambda spark: f"file://{scratch}")
@@ -14,3 +30,13 @@ def test_raw_files_are_compressed_and_of_bounded_size(spark, sf_dir, scratch, mo
     for p in written:
         sizes[p.parent] = sizes.get(p.parent, 0) + p.stat().st_size
     assert max(sizes.values()) < 2.2 * sum(sizes.values()) / len(sizes)
+
+
+def test_suppliers_are_joined_by_their_own_size(spark, sf_dir):
+    plan = joined_tables(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    # nation joins the ledger, not supplier: a join of parents counts as the product of their sizes
+    depth = [line.index("Join") for line in plan.splitlines() if "Join Inner" in line]
+    keys = [line for line in plan.splitlines() if "Join Inner" in line]
+    supplier = next(i for i, line in enumerate(keys) if "s_suppkey" in line)
+    nation = next(i for i, line in enumerate(keys) if "n_nationkey" in line)
+    assert depth[nation] < depth[supplier]
