@@ -7,6 +7,7 @@ import zlib
 from collections import deque
 from collections.abc import Iterator
 from functools import lru_cache
+from struct import pack as pack_ids
 
 import numpy as np
 import pyarrow as pa
@@ -170,11 +171,19 @@ def encoder(path: str) -> PieceCache:
     letters = {i: letter for i, letter in enumerate(byte_letters())}
     model = library.model
 
+    tokenize, space = model.tokenize, letters[ord(" ")]
+
     def value(text: str) -> bytes:
-        if plain and is_word(text.removeprefix(" ")):
-            # A single word needs no splitting rule: the model takes its bytes as letters.
-            word = text.encode().decode("latin-1").translate(letters)
-            return np.array([token.id for token in model.tokenize(word)], "<u4").tobytes()
+        bare = text.removeprefix(" ")
+        if plain and is_word(bare):
+            # A single word needs no splitting rule: the model takes its bytes as letters, and
+            # letters of ASCII stand for themselves.
+            if bare.isascii():
+                word = bare if len(bare) == len(text) else space + bare
+            else:
+                word = text.encode().decode("latin-1").translate(letters)
+            ids = [token.id for token in tokenize(word)]
+            return pack_ids(f"<{len(ids)}I", *ids)
         return np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     return PieceCache(value, b"".join)

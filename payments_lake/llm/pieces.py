@@ -38,6 +38,8 @@ class PieceCache(dict):
         self.bare = PieceCache(value, join, "") if lead else self
 
     def __missing__(self, piece: str):
+        if is_word(piece):
+            return self._kept(piece, self.value(self.lead + piece))
         lines = piece.split("\n")
         # A line break between two printed characters is a token of its own.
         if len(lines) > 1 and all(lines) and len(piece.split()) == len(lines) and not re.search(r"\s\s|^\s|\s$|[^\S\n]", piece):
@@ -49,6 +51,9 @@ class PieceCache(dict):
                 found = self.join(iter((self[core], self.bare[piece[len(core) :]])))
             else:
                 found = self.value(self.lead + piece)
+        return self._kept(piece, found)
+
+    def _kept(self, piece: str, found):
         if len(piece) <= LONGEST_CACHED:
             if len(self) >= MOST_CACHED:
                 self.clear()

@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 
 from payments_lake.llm import quality_rules as rules
 from payments_lake.llm.license_scan import scanned
-from payments_lake.llm.packing import Packer, SumOfSquares, pack
+from payments_lake.llm.packing import Packer, SumOfSquares, encoder, pack
 from payments_lake.llm.secret_scan import base_spans, redacted, scan
 from payments_lake.llm.token_counts import counter, merged_length, token_counts
 
@@ -72,6 +72,19 @@ def test_packing_round_trip(spark, library):
     assert pack(documents(spark, []), PATH).count() == 0
 
 
+def test_plain_words_are_not_taken_apart(library):
+    class Word(str):
+        def split(self, *_):
+            raise AssertionError("a word was searched for line breaks")
+
+    spelled = encoder(PATH)
+    for word in ("plain", "é", "straße", "слово"):
+        for cache, text in ((spelled, " " + word), (spelled.bare, word)):
+            cache.pop(word, None)
+            ids = library.encode(text, add_special_tokens=False).ids
+            assert cache[Word(word)] == np.array(ids, "<u4").tobytes()
+
+
 def _gapless(pieces):
     at = 0
     for start, length in sorted(pieces):
