@@ -47,7 +47,7 @@ def test_suppliers_are_joined_by_their_own_size(spark, sf_dir):
 
 def test_queries_with_several_passes_derive_the_ledger_once(spark, sf_dir):
     """What they return reads the stored table, not the tables it is derived from."""
-    for name in ("profile_duplicates",):
+    for name in ("profile_duplicates", "top_duplicate_keys"):
         files = q.QUERIES[name](spark, sf_dir).inputFiles()
         assert files and not [f for f in files if "lineitem" in f], name
 
