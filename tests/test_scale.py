@@ -3,10 +3,14 @@
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
-from payments_lake.functions import with_row_hash
+from payments_lake.functions import composite_key, normalize_key_value, with_row_hash
+from payments_lake.functions.text import MISSING_TOKENS
 from payments_lake.operators import duplicates
-from payments_lake.schema import ROW_HASH
+from payments_lake.operators.silver import to_silver
+from payments_lake.operators.validation import silver_identity, validate_silver
+from payments_lake.schema import FLAGS, REQUIRED_SILVER_COLUMNS, ROW_HASH
 from payments_lake.sources.bridge import joined_tables
 from verification import queries as q
 
@@ -61,3 +65,55 @@ def test_stored_columns_give_the_same_reports(spark, ledger):
 
 def rows(frame):
     return sorted(map(str, frame.collect()))
+
+
+def scans(spark, frame):
+    """How often the plan of a frame reads files, exchanges shared."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return frame()._jdf.queryExecution().executedPlan().toString().count("FileScan parquet")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_silver_is_validated_in_one_scan(spark, ledger, scratch):
+    to_silver(ledger({}, {})).write.parquet(f"{scratch}/silver")
+    silver = spark.read.parquet(f"{scratch}/silver")
+    assert scans(spark, lambda: validate_silver(silver)) == 1
+
+
+def test_silver_counts_of_odd_rows(spark, ledger, scratch):
+    """Copies, rows that differ under one hash, and missing or unreadable hashes."""
+    to_silver(ledger({}, {}, {"Department": "NA", "Vouchers Paid": "(1)"}, {"Fiscal Year": "x"})).write.parquet(
+        f"{scratch}/silver"
+    )
+    silver = spark.read.parquet(f"{scratch}/silver")
+    one = silver.limit(1)
+    odd = silver.unionByName(
+        one.withColumns({"po_year": F.lit(None).cast("int"), "is_negative_paid": F.lit(None).cast("boolean")})
+    ).unionByName(one.withColumn(ROW_HASH, F.lit("not hex")))
+    odd = odd.unionByName(one.withColumns({ROW_HASH: F.lit(None).cast("string"), "fiscal_year": F.lit(1990)}))
+    for frame in (odd, odd.limit(0), odd.drop(ROW_HASH), odd.drop("fiscal_year", "department")):
+        found = {(r.column_name, r.metric): r.value for r in validate_silver(frame).collect()}
+        identity = silver_identity(frame).first()
+        assert found["", "status"] == identity.status
+        assert int(found[ROW_HASH, "unique_count"]) == identity.unique_source_hash_count
+        table = [r.asDict() for r in frame.collect()]
+        assert int(found["", "total_rows"]) == identity.row_count == len(table)
+        for name in set(REQUIRED_SILVER_COLUMNS) & set(frame.columns):
+            nulls = sum(r[name] is None or r[name] in MISSING_TOKENS for r in table)
+            assert int(found[name, "null_count"]) == nulls, name
+        for name in FLAGS:
+            assert int(found[name, "true_count"]) == sum(r[name] is True for r in table), name
+        if "fiscal_year" in frame.columns:
+            years = [str(r["fiscal_year"]) for r in table if r["fiscal_year"] is not None]
+            assert found["fiscal_year", "min"] == min(years, default=None)
+            assert found["fiscal_year", "max"] == max(years, default=None)
+
+
+def test_keys_are_trimmed_of_any_white_space(spark):
+    edges = ["", " ", "\t", "\x85", "\xa0", "\u1680", "\u3000", "\n", " \x1f "]
+    cells = [e + text + e for e in edges for text in ("a b", "\u00e9", "\u4e2d", "", "||")] + [None]
+    frame = spark.createDataFrame([(x, y) for x in cells for y in cells], "a string, b string")
+    parts = F.concat_ws("||", normalize_key_value(F.col("a")), normalize_key_value(F.col("b")))
+    assert frame.filter(~composite_key(["a", "b"]).eqNullSafe(parts)).count() == 0
