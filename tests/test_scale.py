@@ -10,7 +10,8 @@ from payments_lake.functions.text import MISSING_TOKENS
 from payments_lake.operators import duplicates
 from payments_lake.operators.silver import to_silver
 from payments_lake.operators.validation import silver_identity, validate_silver
-from payments_lake.schema import FLAGS, REQUIRED_SILVER_COLUMNS, ROW_HASH
+from payments_lake.plans.readiness import readiness_summary
+from payments_lake.schema import FLAGS, REQUIRED_SILVER_COLUMNS, ROW_HASH, WIDTH
 from payments_lake.sources.bridge import joined_tables
 from verification import queries as q
 
@@ -82,6 +83,12 @@ def test_silver_is_validated_in_one_scan(spark, ledger, scratch):
     assert scans(spark, lambda: validate_silver(silver)) == 1
 
 
+def test_readiness_takes_one_scan(spark, ledger, scratch):
+    with_row_hash(ledger({}, {})).withColumn(WIDTH, F.lit(33)).write.parquet(f"{scratch}/raw")
+    raw = spark.read.parquet(f"{scratch}/raw")
+    assert scans(spark, lambda: readiness_summary(raw, carried_widths=True)) == 1
+
+
 def test_silver_counts_of_odd_rows(spark, ledger, scratch):
     """Copies, rows that differ under one hash, and missing or unreadable hashes."""
     to_silver(ledger({}, {}, {"Department": "NA", "Vouchers Paid": "(1)"}, {"Fiscal Year": "x"})).write.parquet(
@@ -111,6 +118,18 @@ def test_silver_counts_of_odd_rows(spark, ledger, scratch):
             assert found["fiscal_year", "max"] == max(years, default=None)
 
 
+def test_carried_widths_count_as_a_frame_of_widths(ledger):
+    raw = ledger({}, {}, {"Department": None, "Program": " a"}, {"Fiscal Year": "x", "Program": "A"}, {"Fund": "y"})
+    raw = raw.withColumn(WIDTH, F.when(F.col("Fund") == "y", 35).otherwise(33))
+    for frame in (raw, raw.limit(0)):
+        widths = frame.select(F.col(WIDTH).alias("width"))
+        carried = rows(readiness_summary(frame, carried_widths=True))
+        assert carried == rows(readiness_summary(frame, widths)) and len(carried) == 9
+    found = {r.check: (r.failures, r.warnings) for r in readiness_summary(raw, carried_widths=True).collect()}
+    assert found["file_structure"] == (0, 1) and found["duplicates"] == (0, 1 + 4)
+    assert found["time_coverage"][0] == 1 and found["dimensions"] == (0, 2)
+
+
 def test_keys_are_trimmed_of_any_white_space(spark):
     edges = ["", " ", "\t", "\x85", "\xa0", "\u1680", "\u3000", "\n", " \x1f "]
     cells = [e + text + e for e in edges for text in ("a b", "\u00e9", "\u4e2d", "", "||")] + [None]
