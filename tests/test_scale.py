@@ -50,6 +50,20 @@ def test_suppliers_are_joined_by_their_own_size(spark, sf_dir):
     assert depth[nation] < depth[supplier]
 
 
+def test_rows_are_narrow_where_large_parents_join(spark, sf_dir):
+    """Names of suppliers, nations and regions aren't carried through the shuffles for parts and orders."""
+    plan = joined_tables(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    depth = {key: line.index("Join") for line in plan.splitlines() for key in ("l_partkey", "l_orderkey", "l_suppkey") if "Join Inner" in line and key in line}
+    assert depth["l_suppkey"] < min(depth["l_partkey"], depth["l_orderkey"])
+
+
+def test_schema_profile_derives_the_ledger_once(spark, sf_dir, scratch, monkeypatch):
+    monkeypatch.setattr(q, "shared_folder", lambda spark: f"file://{scratch}")
+    files = q.QUERIES["profile_schema"](spark, sf_dir).inputFiles()
+    assert files and not [f for f in files if "lineitem" in f]
+    assert all(p.name.endswith(".zstd.parquet") for p in Path(scratch, "table").glob("part-*"))
+
+
 def test_queries_with_several_passes_derive_the_ledger_once(spark, sf_dir):
     """What they return reads the stored table, not the tables it is derived from."""
     for name in ("profile_duplicates", "top_duplicate_keys"):
