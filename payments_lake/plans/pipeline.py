@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import json
 import time
 from collections.abc import Callable
@@ -78,6 +79,9 @@ class Layout:
     def report(self, name: str) -> str:
         return f"{self.root}/reports/{name}"
 
+    def kept(self, name: str) -> str:
+        return f"{self.root}/kept/{name}"
+
     def sample(self, name: str) -> str:
         return f"{self.root}/samples/{name}"
 
@@ -243,6 +247,13 @@ def profile(spark: SparkSession, raw_path: str, out_dir: str, head: int | None =
     """
     layout = Layout(out_dir)
     landed = read_table(spark, layout.landed)
+    numbers = itertools.count()
+
+    def keep(frame: DataFrame) -> DataFrame:
+        path = layout.kept(f"duplicates_{next(numbers)}")
+        write_table(frame, path)
+        return read_table(spark, path)
+
     reports: dict[str, Callable[[], DataFrame]] = {
         "file_structure": lambda: profile_landed(landed, file_sizes(spark, raw_path)),
         "schema": lambda: profile_schema(
@@ -252,7 +263,7 @@ def profile(spark: SparkSession, raw_path: str, out_dir: str, head: int | None =
         "missing_values": lambda: profile_missing(landed).unionByName(
             missing_example_report(landed)
         ),
-        "duplicates": lambda: profile_duplicates(landed),
+        "duplicates": lambda: profile_duplicates(landed, keep),
         "business_rules": lambda: profile_business_rules(landed).unionByName(
             rule_example_report(landed)
         ),

@@ -1,5 +1,6 @@
 """What several passes read is derived once, and written files stay small."""
 
+from collections import Counter
 from pathlib import Path
 
 import pytest
@@ -71,6 +72,52 @@ def test_queries_with_several_passes_derive_the_ledger_once(spark, sf_dir):
         assert files and not [f for f in files if "lineitem" in f], name
 
 
+@pytest.fixture
+def keep(spark, scratch):
+    """Stores frames, and keeps the plans by which they were computed."""
+
+    def store(frame):
+        store.plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        path = f"{scratch}/{len(store.plans)}"
+        frame.write.parquet(path)
+        return spark.read.parquet(path)
+
+    store.plans = []
+    return store
+
+
+def test_texts_of_keys_stay_in_their_tasks(spark, ledger, keep):
+    """They are joined with few digests, whatever Spark knows about the number of these."""
+    raw = keep(ledger(*[{"Purchase Order": f"{i % 9}"} for i in range(30)]))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        duplicates.top_duplicate_keys(raw, keep=keep)
+        assert len(keep.plans) == 5
+        assert not [plan for plan in keep.plans if "SortMergeJoin" in plan or "ShuffledHashJoin" in plan]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("fetched", [1, 4, 7, 1000])
+def test_more_ties_than_texts_fetched_first(ledger, keep, fetched):
+    orders = [f"{i:02d}" for i in range(40) for _ in range(2 + (i in (25, 31)))] + ["once", " 07", None]
+    raw = keep(ledger(*[{"Purchase Order": o} for o in orders]))
+    counts = Counter("<NULL>" if o is None else o.strip() for o in orders)
+    best = sorted(((-n, key) for key, n in counts.items() if n > 1))[:4]
+    repeated = keep(duplicates.repeated_keys(duplicates.key_digests(raw)))
+    for kept in (keep, duplicates.as_it_is):
+        top = duplicates._top_keys(raw, repeated, 4, kept, fetched).filter("key_name = 'purchase_order'")
+        assert [(-r.records, r.key) for r in sorted(top.collect(), key=lambda r: r["rank"])] == best
+
+
+def test_uniqueness_from_repeated_keys(ledger):
+    changes = [{}, {}, {"Purchase Order": None}, {"Purchase Order": " "}, {"Department": "x"}, {"Fiscal Year": "1"}]
+    for raw in (ledger(*changes), ledger({}, {"Purchase Order": "2"}), ledger({}).limit(0)):
+        digests = duplicates.key_digests(raw)
+        found = duplicates._key_uniqueness(raw, duplicates.repeated_keys(digests))
+        assert rows(found) == rows(duplicates.uniqueness(digests, "key_name"))
+
+
 def test_stored_columns_give_the_same_reports(spark, ledger):
     raw = ledger({}, {}, {"Department": None}, {"Purchase Order": None, "Vouchers Paid": "x"}, {"Fiscal Year": " "})
     assert rows(duplicates.profile_duplicates(q.stored_keys(with_row_hash(raw), ROW_HASH))) == rows(
