@@ -41,6 +41,28 @@ def test_raw_files_are_compressed_and_of_bounded_size(spark, sf_dir, scratch, mo
     assert max(sizes.values()) < 2.2 * sum(sizes.values()) / len(sizes)
 
 
+def test_raw_files_are_written_where_records_are_made(spark, scratch, monkeypatch):
+    """No record is shuffled: a task's files hold its records in order, each file after a header."""
+    spark.range(70).write.parquet(f"{scratch}/lineitem.parquet")
+    cells = ",".join(f'"{i}"' for i in range(32))
+    texts = spark.range(0, 70, 1, 4).filter("id >= 20").select(
+        F.col("id").alias("row_id"), F.concat(F.lit(cells + ","), F.col("id").cast("string")).alias("record")
+    )
+    monkeypatch.setattr(q, "shared_folder", lambda spark: f"file://{scratch}")
+    monkeypatch.setattr(q, "record_texts", lambda spark, sf_dir: texts)
+    landed = q.landed_files(spark, scratch)
+    written = sorted(Path(scratch, "raw").glob("part-*"))
+    files = [[r.value for r in spark.read.text(f"{p}").collect()] for p in written]
+    files = [lines for lines in files if lines]
+    assert all(lines[0].startswith('"Fiscal Year",') and 2 <= len(lines) <= 10 for lines in files)
+    assert [int(line.split(",")[-1]) for lines in files for line in lines[1:]] == list(range(20, 70))
+    assert len({len(lines) for lines in files}) > 1
+    numbers = [int(r[0]) for r in landed.select("Purchasing Authority Description").collect()]
+    assert sorted(numbers) == list(range(20, 70))
+    assert {r[0] for r in landed.select(WIDTH).collect()} == {33}
+    assert list(Path(scratch, "landed").glob("part-*.zstd.parquet"))
+
+
 def test_suppliers_are_joined_by_their_own_size(spark, sf_dir):
     plan = joined_tables(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     # nation joins the ledger, not supplier: a join of parents counts as the product of their sizes
