@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 from payments_lake.functions import composite_key, normalize_key_value, with_row_hash
 from payments_lake.functions.text import MISSING_TOKENS
-from payments_lake.operators import duplicates
+from payments_lake.operators import duplicates, structure
 from payments_lake.operators.silver import to_silver
 from payments_lake.operators.validation import silver_identity, validate_silver
 from payments_lake.plans.readiness import readiness_summary
-from payments_lake.schema import FLAGS, REQUIRED_SILVER_COLUMNS, ROW_HASH, WIDTH
-from payments_lake.sources.bridge import joined_tables
+from payments_lake.schema import FLAGS, RAW_COLUMNS, REQUIRED_SILVER_COLUMNS, ROW_HASH, WIDTH
+from payments_lake.sources.bridge import bridge, joined_tables
 from verification import queries as q
 
 ONCE = [
@@ -63,6 +63,23 @@ def test_raw_files_are_written_where_records_are_made(spark, scratch, monkeypatc
     assert list(Path(scratch, "landed").glob("part-*.zstd.parquet"))
 
 
+def test_reports_of_readiness_derive_the_ledger_once(spark, sf_dir, monkeypatch):
+    raw, plain = q.stored(q.raw_with_records(spark, sf_dir)), q.raw_table(spark, sf_dir)
+    malformed = f"width != {len(RAW_COLUMNS)}"
+    widths = rows(structure.widths_of_landed(raw).filter(malformed))
+    assert widths and widths == rows(q.stored_widths(spark, sf_dir).filter(malformed))
+    assert raw.count() == plain.count() and raw.select(plain.columns).exceptAll(plain).isEmpty()
+    derived = []
+    monkeypatch.setattr(q, "bridge", lambda *a: derived.append(a) or bridge(*a))
+    monkeypatch.setattr(q, "raw_table", lambda *a: derived.append(a) or plain)
+    nothing = spark.createDataFrame([("x", "", "m", "0")], "check string, column_name string, metric string, value string")
+    for module in (structure, q.types, q.missing, q.rules, duplicates, q.dimensions, q.times):
+        for name in [n for n in vars(module) if n.startswith("profile_")]:
+            monkeypatch.setattr(module, name, lambda *a: nothing)
+    q.QUERIES["readiness_from_reports"](spark, sf_dir)
+    assert len(derived) == 1
+
+
 def test_suppliers_are_joined_by_their_own_size(spark, sf_dir):
     plan = joined_tables(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     # nation joins the ledger, not supplier: a join of parents counts as the product of their sizes
